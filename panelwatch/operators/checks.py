@@ -1,55 +1,90 @@
-"""Constraints as jobs: Spark does not enforce keys, references or NOT NULL."""
+"""Constraints as jobs: Spark does not enforce keys, references or NOT NULL.
+
+All checks give rows `constraint, violations`, also for constraints that hold.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def duplicate_keys(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
-    """`constraint, violations`: key values that occur more than once."""
-    repeated = df.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
-    return repeated.agg(F.lit(name).alias("constraint"), F.count("*").alias("violations"))
+def stack(parts: Sequence[DataFrame]) -> DataFrame:
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    return stacked
 
 
-def nulls(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
-    """`constraint, violations`: one row per NOT NULL column, all counted in one pass."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    rows = F.array(
-        *[
-            F.struct(F.lit(f"{table}.{c} not null").alias("constraint"), F.col(c).alias("violations"))
-            for c in columns
-        ]
-    )
-    return counted.select(F.inline(rows))
+def counted(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """Rows that meet each condition, all counted in one pass."""
+    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])
+    rows = [
+        F.struct(F.lit(name).alias("constraint"), F.col(f"`{name}`").alias("violations"))
+        for name in conditions
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def not_null(table: str, columns: Sequence[str]) -> dict[str, Column]:
+    """Conditions for `counted`."""
+    return {f"{table}.{c} not null": F.col(c).isNull() for c in columns}
+
+
+def duplicate_keys(keys: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """Key values that occur more than once, for `(constraint, table, key columns)`.
+
+    All keys are counted in one shuffle. Parts of a key are joined by a character that
+    ends no name, with NULL kept apart from the empty text.
+    """
+    parts = [
+        df.select(
+            F.lit(name).alias("constraint"),
+            F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in columns])
+            .alias("_key"),
+        )
+        for name, df, columns in keys
+    ]
+    per_key = stack(parts).groupBy("constraint", "_key").agg(F.count("*").alias("_n"))
+    return per_key.groupBy("constraint").agg(F.count_if(F.col("_n") > 1).alias("violations"))
 
 
 def missing_references(
-    df: DataFrame, references: Mapping[str, tuple[DataFrame, str]], table: str
+    tables: Mapping[str, DataFrame], references: Mapping[str, Mapping[str, tuple[str, str]]]
 ) -> DataFrame:
-    """`constraint, violations`: distinct non-NULL keys without a dimension row.
+    """Distinct non-NULL keys without a row in the dimension they refer to.
 
-    `references` maps a column to its dimension and that one's key. The distinct keys of
-    all columns are taken in one pass; only they are compared, never the fact rows.
+    `references` maps a table to its columns, and each to a dimension and that one's
+    key. The distinct keys of a table's columns come out of one pass; only they are
+    compared, never the rows.
     """
-    used = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("reference"), F.col(c).cast("bigint").alias("key"))
-                    for c in references
-                ]
+
+    def keys(table: str, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
+        rows = [
+            F.struct(
+                F.lit(f"{table}.{column} references {dim}").alias("constraint"),
+                F.lit(dim).alias("_dim"),
+                F.col(column).cast("bigint").alias("_key"),
             )
-        )
-    ).where("key IS NOT NULL").distinct()
-    known = None
-    for column, (dim, key) in references.items():
-        one = dim.select(F.lit(column).alias("reference"), F.col(key).cast("bigint").alias("key"))
-        known = one if known is None else known.union(one)
-    # A left join that keeps the matches, so that a reference without violations has a row.
-    compared = used.join(known.distinct().withColumn("_found", F.lit(1)), ["reference", "key"], "left")
-    return compared.groupBy(
-        F.concat(F.lit(f"{table}."), "reference", F.lit(" references")).alias("constraint")
-    ).agg(F.count_if(F.col("_found").isNull()).alias("violations"))
+            for column, (dim, _) in columns.items()
+        ]
+        return tables[table].select(F.inline(F.array(*rows)))
+
+    used = stack([keys(t, columns) for t, columns in references.items()]).distinct()
+    targets = {target for columns in references.values() for target in columns.values()}
+    known = stack(
+        [
+            tables[dim].select(
+                F.lit(dim).alias("_dim"), F.col(key).cast("bigint").alias("_key"), F.lit(True).alias("_found")
+            )
+            for dim, key in sorted(targets)
+        ]
+    )
+    orphan = F.col("_key").isNotNull() & F.col("_found").isNull()
+    return (
+        used.join(known, ["_dim", "_key"], "left")
+        .groupBy("constraint")
+        .agg(F.count_if(orphan).alias("violations"))
+    )

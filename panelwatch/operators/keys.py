@@ -18,14 +18,17 @@ def number_rows(
     key: str,
     dtype: str = "bigint",
     *,
-    one_task_rows: int = ONE_TASK_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add `key` = 1..n in the order of `order`, which must be unique.
 
     A table proven small is numbered in one task. A larger one is range partitioned;
     every range is numbered on its own and shifted by the number of rows before it.
+    `small` passes on a size check that the caller has made.
     """
-    if df.limit(one_task_rows + 1).count() <= one_task_rows:
+    if small is None:
+        small = df.count() <= ONE_TASK_ROWS
+    if small:
         number = F.row_number().over(Window.orderBy(*order))
         return df.withColumn(key, number.cast(dtype))
     ranges = materialise(

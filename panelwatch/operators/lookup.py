@@ -12,9 +12,8 @@ SALTS = 16
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a dimension is proven small. Reads at most `max_rows + 1` rows; on a
-    written table this is answered from the file footers."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """Whether a dimension is proven small. For a written table the file footers tell."""
+    return dim.count() <= max_rows
 
 
 def lookup(
@@ -32,6 +31,8 @@ def lookup(
     joined on the key plus a salt: each fact row draws one of `salts` values and every
     dimension row is there once per value, so a key that holds a large part of the
     facts is spread over `salts` tasks. The result is the same either way.
+
+    `small` passes on a size check that the caller has made.
     """
     on = list(on)
     if small is None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions import calendar
 from panelwatch.functions.measures import rate
-from panelwatch.operators.lookup import BROADCAST_ROWS, lookup
+from panelwatch.operators.lookup import fits_broadcast, lookup
 from panelwatch.operators.panel import MONTH, WEEK, densify, sparse_panel
 from panelwatch.operators.trend import rank_and_share, trend
 from panelwatch.plans.schema import UNKNOWN_COUNTY
@@ -61,7 +61,8 @@ def weekly_sparse(tables: Tables) -> DataFrame:
     ).withColumn("denominator", F.lit(None).cast("bigint"))
     sums = visits.unionByName(cases)
     diseases = tables["dim_disease"].select("disease_key", *WEEKLY_SERIES)
-    named = lookup(lookup(sums, diseases, ["disease_key"]), _county_names(tables), ["geo_key"])
+    named = lookup(sums, diseases, ["disease_key"], small=True)
+    named = lookup(named, _county_names(tables), ["geo_key"])
     monday = calendar.week_start(calendar.key_date(F.col("date_key")))
     by_week = sparse_panel(
         named.withColumn("week_start_date", monday),
@@ -113,9 +114,8 @@ def weekly_trend(tables: Tables) -> DataFrame:
 
 
 def _too_many_for_one_task(tables: Tables) -> bool:
-    """Whether a period's rows, one per county, are beyond one task."""
-    counties = known_counties(tables["dim_geography"])
-    return counties.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS
+    """Whether a period's rows, one per county, may be beyond one task."""
+    return not fits_broadcast(tables["dim_geography"])
 
 
 def weekly_rank(tables: Tables) -> DataFrame:

@@ -27,6 +27,10 @@ def counties(tables: Tables) -> DataFrame:
     return known_counties(tables["dim_geography"]).orderBy("county_name")
 
 
+def county_count(tables: Tables) -> DataFrame:
+    return known_counties(tables["dim_geography"]).agg(F.count("*").alias("counties"))
+
+
 def _weekly_line(tables: Tables, disease: str, county: str) -> DataFrame:
     return analytics.weekly_trend(tables).where(
         (F.col("disease_code") == disease) & (F.col("county_name") == county)

@@ -123,14 +123,15 @@ def county_map(members: DataFrame) -> DataFrame:
     )
 
 
-def age_dimension(members: DataFrame) -> DataFrame:
+def age_dimension(members: DataFrame, *, small: bool | None = None) -> DataFrame:
+    """Age labels with their bounds. `small` tells that the members are proven few."""
     labels = members.where("kind = 'age'").select(F.col("name").alias("age_label"))
     lower, upper = clean.age_bounds(F.col("age_label"))
     banded = labels.select("age_label", lower.alias("age_lower"), upper.alias("age_upper"))
-    return number_rows(banded, ["age_label"], "age_key", "int")
+    return number_rows(banded, ["age_label"], "age_key", "int", small=small)
 
 
-def geography_dimension(members: DataFrame) -> DataFrame:
+def geography_dimension(members: DataFrame, *, small: bool | None = None) -> DataFrame:
     """Counties, the unknown county and towns, conformed by name.
 
     A county has the empty town name. Towns exist only below a known county. Among the
@@ -141,7 +142,7 @@ def geography_dimension(members: DataFrame) -> DataFrame:
     town_rows = members.where("kind = 'town' AND name <> '' AND county <> ''").groupBy(
         F.col("county").alias("county_name"), F.col("name").alias("town_name")
     ).agg(F.max("code").alias("town_code"))
-    towns = lookup(town_rows, counties, ["county_name"])
+    towns = lookup(town_rows, counties, ["county_name"], small=small)
 
     def county_level(df: DataFrame) -> DataFrame:
         return df.select(
@@ -161,4 +162,4 @@ def geography_dimension(members: DataFrame) -> DataFrame:
         .unionByName(county_level(unknown))
         .unionByName(towns.withColumn("geo_level", F.lit("town")))
     )
-    return number_rows(places, ["county_name", "town_name"], "geo_key")
+    return number_rows(places, ["county_name", "town_name"], "geo_key", small=small)

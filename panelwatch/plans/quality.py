@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwatch.functions.measures import percent, round_half_away
@@ -22,55 +22,51 @@ STAGED_FOR = {
 }
 
 
-def _stack(parts: list[DataFrame]) -> DataFrame:
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked
-
-
 def unique_constraints(tables: Tables, names=DIMENSIONS + FACTS) -> DataFrame:
-    return _stack(
-        [
-            checks.duplicate_keys(tables[t], key, f"{t}({', '.join(key)}) unique")
-            for t in names
-            for key in UNIQUE[t]
-        ]
+    return checks.duplicate_keys(
+        [(f"{t}({', '.join(key)}) unique", tables[t], key) for t in names for key in UNIQUE[t]]
     )
 
 
+def _not_null(table: str) -> dict[str, Column]:
+    return checks.not_null(table, [c for c in columns(table) if c not in NULLABLE.get(table, ())])
+
+
 def not_null_constraints(tables: Tables, names=DIMENSIONS + FACTS) -> DataFrame:
-    return _stack(
-        [
-            checks.nulls(tables[t], [c for c in columns(t) if c not in NULLABLE.get(t, ())], t)
-            for t in names
-        ]
-    )
+    return checks.stack([checks.counted(tables[t], _not_null(t)) for t in names])
 
 
-def reference_constraints(tables: Tables, names=FACTS) -> DataFrame:
-    return _stack(
+def reference_constraints(tables: Tables) -> DataFrame:
+    return checks.missing_references(tables, REFERENCES)
+
+
+def constraint_report(tables: Tables) -> DataFrame:
+    """`constraint, violations` of every key, NOT NULL column and reference.
+
+    The row ids of facts are unique as generated, so a build does not spend a shuffle of
+    the facts on them; `unique_constraints` checks them on request.
+    """
+    return checks.stack(
         [
-            checks.missing_references(
-                tables[t], {c: (tables[dim], key) for c, (dim, key) in REFERENCES[t].items()}, t
-            )
-            for t in names
+            unique_constraints(tables, DIMENSIONS),
+            not_null_constraints(tables),
+            reference_constraints(tables),
         ]
     )
 
 
 def rows_landed(staged: Tables, tables: Tables) -> DataFrame:
     """`check, ok`: every staged row is in its fact table."""
-    parts = []
-    for fact, stage in STAGED_FOR.items():
-        counts = (
-            staged[stage].agg(F.count("*").alias("n"))
-            .withColumn("sign", F.lit(1))
-            .union(tables[fact].agg(F.count("*").alias("n")).withColumn("sign", F.lit(-1)))
-        )
-        difference = counts.agg(F.sum(F.col("n") * F.col("sign")).alias("d"))
-        parts.append(difference.select(F.lit(f"{fact} rows landed").alias("check"), (F.col("d") == 0).alias("ok")))
-    return _stack(parts)
+
+    def signed(df: DataFrame, fact: str, sign: int) -> DataFrame:
+        return df.agg(F.lit(fact).alias("fact"), (F.count("*") * sign).alias("n"))
+
+    counts = [signed(staged[stage], fact, 1) for fact, stage in STAGED_FOR.items()]
+    counts += [signed(tables[fact], fact, -1) for fact in STAGED_FOR]
+    difference = checks.stack(counts).groupBy("fact").agg(F.sum("n").alias("d"))
+    return difference.select(
+        F.concat("fact", F.lit(" rows landed")).alias("check"), (F.col("d") == 0).alias("ok")
+    )
 
 
 def plausible_measures(tables: Tables) -> DataFrame:
@@ -82,31 +78,22 @@ def plausible_measures(tables: Tables) -> DataFrame:
     )
 
 
-def constraint_report(tables: Tables) -> DataFrame:
-    """`constraint, violations` of every key, NOT NULL column and reference.
-
-    The row ids of facts are unique as generated, so a build does not spend a shuffle of
-    the facts on them; `unique_constraints` checks them on request.
-    """
-    return _stack(
-        [
-            unique_constraints(tables, DIMENSIONS),
-            not_null_constraints(tables),
-            reference_constraints(tables),
-        ]
+def constraint_checks(tables: Tables) -> DataFrame:
+    """`check, ok` of the constraints."""
+    return constraint_report(tables).select(
+        F.col("constraint").alias("check"), (F.col("violations") == 0).alias("ok")
     )
 
 
 def build_report(staged: Tables, tables: Tables) -> DataFrame:
     """`check, ok` for everything a build must satisfy."""
-    constraints = constraint_report(tables).select(
-        F.col("constraint").alias("check"), (F.col("violations") == 0).alias("ok")
+    return checks.stack(
+        [rows_landed(staged, tables), plausible_measures(tables), constraint_checks(tables)]
     )
-    return _stack([rows_landed(staged, tables), plausible_measures(tables), constraints])
 
 
 def row_counts(tables: Tables, names=DIMENSIONS + FACTS) -> DataFrame:
-    return _stack(
+    return checks.stack(
         [tables[t].agg(F.lit(t).alias("table_name"), F.count("*").alias("n_rows")) for t in names]
     )
 

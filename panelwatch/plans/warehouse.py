@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwatch.operators.lookup import BROADCAST_ROWS, fits_broadcast
 from panelwatch.plans import analytics, dimensions, facts, quality, staging
 from panelwatch.plans.dimensions import RawTables
 from panelwatch.plans.schema import CALENDAR, PARTITIONED_BY, TABLES, columns
-from panelwatch.session import materialise
+from panelwatch.session import materialise, run_together
 from panelwatch.sources import pointer
 from panelwatch.sources.ingest import DATASETS
 from panelwatch.sources.store import RawStore
@@ -48,14 +50,20 @@ def load_dimensions(
 ) -> dict[str, DataFrame]:
     spark = raw.flu.sparkSession
     members = materialise(dimensions.members(raw), "members")
+    # No dimension drawn from the members has more rows than they, the unknown county aside.
+    small = fits_broadcast(members, BROADCAST_ROWS - 1)
     built = {
         "dim_disease": dimensions.disease_dimension(spark).coalesce(1),
         "dim_gender": dimensions.gender_dimension(spark).coalesce(1),
         "dim_date": dimensions.calendar_dimension(spark, *calendar),
-        "dim_age_group": dimensions.age_dimension(members),
-        "dim_geography": dimensions.geography_dimension(members),
+        "dim_age_group": dimensions.age_dimension(members, small=small or None),
+        "dim_geography": dimensions.geography_dimension(members, small=small or None),
     }
-    return {name: write_table(df, root, name) for name, df in built.items()}
+    return _write_all(built, root)
+
+
+def _write_all(built: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    return run_together({name: partial(write_table, df, root, name) for name, df in built.items()})
 
 
 def staged_tables(raw: RawTables) -> dict[str, DataFrame]:
@@ -74,7 +82,7 @@ def load_facts(
         "fact_covid_cases": facts.load_covid(staged["stg_covid"], dims),
         "fact_dengue_cases": facts.load_dengue(staged["stg_dengue"], dims),
     }
-    return {name: write_table(df, root, name) for name, df in loaded.items()}
+    return _write_all(loaded, root)
 
 
 def build(
@@ -91,12 +99,23 @@ def build(
     tables = load_dimensions(raw, path, calendar)
     staged = staged_tables(raw)
     tables |= load_facts(staged, tables, path)
+    jobs = {
+        "agg_weekly": lambda: write_table(analytics.weekly_sparse(tables), path, "agg_weekly"),
+        "agg_monthly": lambda: write_table(analytics.monthly_sparse(tables), path, "agg_monthly"),
+    }
+    if check:
+        reports = {
+            "landed": quality.rows_landed(staged, tables),
+            "measures": quality.plausible_measures(tables),
+            "constraints": quality.constraint_checks(tables),
+        }
+        jobs |= {name: report.where("ok IS NOT TRUE").collect for name, report in reports.items()}
+    done = run_together(jobs)
     if check:
-        failed = [r for r in quality.build_report(staged, tables).collect() if not r["ok"]]
+        failed = [row["check"] for name in reports for row in done[name]]
         if failed:
-            raise QualityError(", ".join(r["check"] for r in failed))
-    tables["agg_weekly"] = write_table(analytics.weekly_sparse(tables), path, "agg_weekly")
-    tables["agg_monthly"] = write_table(analytics.monthly_sparse(tables), path, "agg_monthly")
+            raise QualityError(", ".join(sorted(failed)))
+    tables |= {name: done[name] for name in ("agg_weekly", "agg_monthly")}
     pointer.publish(spark, _log(root), WAREHOUSE, version, path)
     return tables
 

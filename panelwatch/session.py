@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -62,3 +67,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent jobs at once, so that the tail of one does not idle the cluster.
+    The first failure is raised after all have ended."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
