@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.functions import calendar
+from panelwatch.operators.lookup import lookup
 from panelwatch.plans import staging as c
 from panelwatch.plans.dimensions import RawTables
 
@@ -59,18 +60,21 @@ def _nations(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the county of their customer."""
-    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    return table(spark, sf_dir, "orders").join(customers, "o_custkey").join(
-        _nations(spark, sf_dir, "c"), "c_nationkey"
+    return _with_customer(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _with_customer(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment"
     )
+    return lookup(lookup(orders, customers, ["o_custkey"]), _nations(spark, sf_dir, "c"), ["c_nationkey"])
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the county of their supplier."""
-    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
-    return table(spark, sf_dir, "lineitem").join(suppliers, "l_suppkey").join(
-        _nations(spark, sf_dir, "s"), "s_nationkey"
-    )
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    lines = lookup(table(spark, sf_dir, "lineitem"), suppliers, ["l_suppkey"])
+    return lookup(lines, _nations(spark, sf_dir, "s"), ["s_nationkey"])
 
 
 def flu(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,13 +135,14 @@ def covid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dengue(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
     segment = F.col("c_mktsegment")
-    home = _orders(spark, sf_dir).select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "c_mktsegment", "c_county"
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
     )
+    cases = _with_customer(spark, sf_dir, lookup(_lines(spark, sf_dir), orders, ["l_orderkey"]))
     unknown_home = (segment == "MACHINERY") & (status == "O") & (returned == "N")
     lon = F.concat(F.lit("120."), F.lpad(F.pmod("l_partkey", F.lit(100)).cast("string"), 2, "0"))
     lat = F.concat(F.lit("22."), F.lpad(F.pmod("l_suppkey", F.lit(100)).cast("string"), 2, "0"))
-    return _lines(spark, sf_dir).join(home, "l_orderkey").select(
+    return cases.select(
         F.when(status == "F", _unpadded(_day("l_shipdate"))).otherwise(_padded(_day("l_shipdate")))
         .alias(c.ONSET_DAY),
         F.when(returned == "N", "").otherwise(_padded(F.date_add(_day("l_shipdate"), 3)))

@@ -14,6 +14,7 @@ from bindings.feeds import table
 from panelwatch.functions import calendar
 from panelwatch.functions.measures import rate
 from panelwatch.operators import profile
+from panelwatch.operators.lookup import lookup
 from panelwatch.operators.panel import WEEK, densify, sparse_panel
 from panelwatch.operators.pick import grid_density, sample_rows
 from panelwatch.operators.trend import rank_and_share, trend
@@ -35,14 +36,13 @@ RANK_WEEK = date(1998, 3, 2)
 
 def _orders_panel(spark: SparkSession, sf_dir: str, cluster_by: list[str]) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    placed = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("week_start_date", calendar.week_start(F.col("o_orderdate").cast("date")))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
+    orders = lookup(table(spark, sf_dir, "orders"), customers, ["o_custkey"])
+    placed = lookup(orders, nation.select("n_nationkey", "n_name"), ["n_nationkey"])
     sparse = sparse_panel(
-        placed,
+        placed.withColumn("week_start_date", calendar.week_start(F.col("o_orderdate").cast("date"))),
         ["o_orderpriority", "n_name", "week_start_date"],
         metric=F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
         denominator=F.lit(1),
@@ -114,7 +114,7 @@ def order_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a place; either coordinate may be missing."""
     segments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    orders = table(spark, sf_dir, "orders").join(segments, "o_custkey")
+    orders = lookup(table(spark, sf_dir, "orders"), segments, ["o_custkey"])
 
     def fraction(key: str) -> F.Column:
         return F.pmod(key, F.lit(1000)) / F.lit(1000.0)

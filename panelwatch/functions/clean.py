@@ -46,10 +46,10 @@ def lenient_double(text: Column) -> Column:
     return blank_to_null(text).try_cast("double")
 
 
-def _strict(text: Column, parsed: Column, kind: str) -> Column:
+def _strict(text: Column, parsed: Column, to: str) -> Column:
     """`parsed`, but a present text that did not parse fails the job."""
-    failure = F.raise_error(F.concat(F.lit(f"malformed {kind}: "), text.cast("string")))
-    return F.when(parsed.isNotNull() | text.isNull(), parsed).otherwise(failure)
+    failure = F.raise_error(F.concat(F.lit(f"malformed {to}: "), text.cast("string")))
+    return F.coalesce(parsed, F.when(text.isNotNull(), failure).cast(to))
 
 
 def strict_cast(value: Column, to: str) -> Column:

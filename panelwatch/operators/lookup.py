@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-SALTS = 16
+from panelwatch.session import materialise
+
+# Rows of a few short columns each.
+BROADCAST_ROWS = 200_000
+# A key with more than one piece's share of the rows is hot and is cut into pieces.
+PIECES = 1000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -23,32 +29,52 @@ def lookup(
     how: str = "inner",
     *,
     small: bool | None = None,
-    salts: int = SALTS,
+    pieces: int = PIECES,
 ) -> DataFrame:
-    """Join `facts` to a dimension that is unique in `on`.
+    """Join `facts` to a dimension that is unique in `on`, inner or left.
 
     A dimension proven small is broadcast, so the facts do not move. A larger one is
-    joined on the key plus a salt: each fact row draws one of `salts` values and every
-    dimension row is there once per value, so a key that holds a large part of the
-    facts is spread over `salts` tasks. The result is the same either way.
-
-    `small` passes on a size check that the caller has made.
+    joined by `split_join`. The result is the same either way. `small` passes on a size
+    check that the caller has made.
     """
-    on = list(on)
     if small is None:
         small = fits_broadcast(dim)
     if small:
-        return facts.join(F.broadcast(dim), on, how)
-    salted = facts.withColumn("_salt", _row_salt(facts, salts))
-    spread = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+        return facts.join(F.broadcast(dim), list(on), how)
+    return split_join(facts, dim, on, how, pieces=pieces)
+
+
+def split_join(
+    facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", *, pieces: int = PIECES
+) -> DataFrame:
+    """A shuffled join that spreads hot keys.
+
+    The rows per key are counted first, combined before the shuffle. A key with more
+    than 1/`pieces` of all rows is hot; there are fewer than `pieces` of them. Its rows
+    are dealt out to as many salts as it has pieces, and its dimension row is repeated
+    once per salt. All other keys have the one salt 0. Rows with a NULL key, which match
+    nothing, are dealt out as well.
+    """
+    on = list(on)
+    counts = facts.groupBy(*on).agg(F.count("*").alias("_n"))
+    piece = F.greatest(F.lit(1), facts.agg(F.ceil(F.count("*") / F.lit(pieces))).scalar())
+    hot = materialise(
+        counts.where(F.col("_n") > piece).select(*on, F.ceil(F.col("_n") / piece).cast("int").alias("_salts")),
+        "hot_keys",
+    )
 
+    def with_salts(df: DataFrame) -> DataFrame:
+        # Fewer rows than `pieces`, as their shares of the facts add up to one.
+        return df.join(F.broadcast(hot), on, "left")
 
-def _row_salt(facts: DataFrame, salts: int) -> Column:
-    """A salt that a re-run task draws again: it depends on the row and its place in
-    the input, never on a random state."""
-    place = F.monotonically_increasing_id()
-    return F.pmod(F.xxhash64(place), F.lit(salts)).cast("int")
+    # The salt depends on a row's place in the input: a task run again draws it again.
+    place = F.xxhash64(F.monotonically_increasing_id())
+    no_key = reduce(or_, [F.col(c).isNull() for c in on])
+    salts = F.when(no_key, F.lit(pieces)).otherwise(F.coalesce(F.col("_salts"), F.lit(1)))
+    salted = with_salts(facts).withColumn("_salt", F.pmod(place, salts).cast("int"))
+    repeats = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    spread = with_salts(dim).withColumn("_salt", F.explode(repeats))
+    return salted.drop("_salts").join(spread.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def every_pair(left: DataFrame, right: DataFrame, right_key: str, buckets: int = 32) -> DataFrame:
