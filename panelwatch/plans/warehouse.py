@@ -29,7 +29,8 @@ def table_path(root: str, table: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(TABLES[table]).parquet(table_path(root, table))
+    # A partition column is read last; the declared order is restored.
+    return spark.read.schema(TABLES[table]).parquet(table_path(root, table)).select(*columns(table))
 
 
 def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> DataFrame:
