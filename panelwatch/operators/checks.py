@@ -57,34 +57,38 @@ def missing_references(
     """Distinct non-NULL keys without a row in the dimension they refer to.
 
     `references` maps a table to its columns, and each to a dimension and that one's
-    key. The distinct keys of a table's columns come out of one pass; only they are
-    compared, never the rows.
+    key. The distinct keys of a table's columns come out of one pass, under numbers
+    instead of names; only they are compared, never the rows.
     """
+    checked = [(t, column, *target) for t, columns in references.items() for column, target in columns.items()]
+    targets = sorted({(dim, key) for _, _, dim, key in checked})
 
-    def keys(table: str, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
-        rows = [
+    def used_by(table: str) -> DataFrame:
+        keys = [
             F.struct(
-                F.lit(f"{table}.{column} references {dim}").alias("constraint"),
-                F.lit(dim).alias("_dim"),
+                F.lit(number).alias("_reference"),
+                F.lit(targets.index((dim, key))).alias("_target"),
                 F.col(column).cast("bigint").alias("_key"),
             )
-            for column, (dim, _) in columns.items()
+            for number, (t, column, dim, key) in enumerate(checked)
+            if t == table
         ]
-        return tables[table].select(F.inline(F.array(*rows)))
+        return tables[table].select(F.inline(F.array(*keys)))
 
-    used = stack([keys(t, columns) for t, columns in references.items()]).distinct()
-    targets = {target for columns in references.values() for target in columns.values()}
+    used = stack([used_by(t) for t in references]).distinct()
     known = stack(
         [
             tables[dim].select(
-                F.lit(dim).alias("_dim"), F.col(key).cast("bigint").alias("_key"), F.lit(True).alias("_found")
+                F.lit(number).alias("_target"), F.col(key).cast("bigint").alias("_key"), F.lit(True).alias("_found")
             )
-            for dim, key in sorted(targets)
+            for number, (dim, key) in enumerate(targets)
         ]
     )
+    names = F.array(*[F.lit(f"{t}.{column} references {dim}") for t, column, dim, _ in checked])
     orphan = F.col("_key").isNotNull() & F.col("_found").isNull()
-    return (
-        used.join(known, ["_dim", "_key"], "left")
-        .groupBy("constraint")
+    per_reference = (
+        used.join(known, ["_target", "_key"], "left")
+        .groupBy("_reference")
         .agg(F.count_if(orphan).alias("violations"))
     )
+    return per_reference.select(F.get(names, F.col("_reference")).alias("constraint"), "violations")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,21 +40,6 @@ def reference_constraints(tables: Tables) -> DataFrame:
     return checks.missing_references(tables, REFERENCES)
 
 
-def constraint_report(tables: Tables) -> DataFrame:
-    """`constraint, violations` of every key, NOT NULL column and reference.
-
-    The row ids of facts are unique as generated, so a build does not spend a shuffle of
-    the facts on them; `unique_constraints` checks them on request.
-    """
-    return checks.stack(
-        [
-            unique_constraints(tables, DIMENSIONS),
-            not_null_constraints(tables),
-            reference_constraints(tables),
-        ]
-    )
-
-
 def rows_landed(staged: Tables, tables: Tables) -> DataFrame:
     """`check, ok`: every staged row is in its fact table."""
 
@@ -78,18 +63,30 @@ def plausible_measures(tables: Tables) -> DataFrame:
     )
 
 
-def constraint_checks(tables: Tables) -> DataFrame:
-    """`check, ok` of the constraints."""
-    return constraint_report(tables).select(
+def _as_checks(constraints: DataFrame) -> DataFrame:
+    return constraints.select(
         F.col("constraint").alias("check"), (F.col("violations") == 0).alias("ok")
     )
 
 
+def build_reports(staged: Tables, tables: Tables) -> dict[str, Callable[[], DataFrame]]:
+    """`check, ok` for everything a build must satisfy, as reports that can run side by side.
+
+    The row ids of facts are unique as generated, so a build does not spend a shuffle of
+    the facts on them; `unique_constraints` checks them on request.
+    """
+    return {
+        "landed": lambda: rows_landed(staged, tables),
+        "measures": lambda: plausible_measures(tables),
+        "unique": lambda: _as_checks(unique_constraints(tables, DIMENSIONS)),
+        "not null": lambda: _as_checks(not_null_constraints(tables)),
+        "references": lambda: _as_checks(reference_constraints(tables)),
+    }
+
+
 def build_report(staged: Tables, tables: Tables) -> DataFrame:
-    """`check, ok` for everything a build must satisfy."""
-    return checks.stack(
-        [rows_landed(staged, tables), plausible_measures(tables), constraint_checks(tables)]
-    )
+    """All of them in one table."""
+    return checks.stack([report() for report in build_reports(staged, tables).values()])
 
 
 def row_counts(tables: Tables, names=DIMENSIONS + FACTS) -> DataFrame:

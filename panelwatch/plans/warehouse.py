@@ -104,23 +104,22 @@ def build(
         "agg_weekly": lambda: write_table(analytics.weekly_sparse(tables), path, "agg_weekly"),
         "agg_monthly": lambda: write_table(analytics.monthly_sparse(tables), path, "agg_monthly"),
     }
-    if check:
-        reports = {
-            "landed": quality.rows_landed(staged, tables),
-            "measures": quality.plausible_measures(tables),
-            "constraints": quality.constraint_checks(tables),
-        }
-        jobs |= {name: report.where("ok IS NOT TRUE").collect for name, report in reports.items()}
+    reports = quality.build_reports(staged, tables) if check else {}
+    jobs |= {name: partial(_failed, report) for name, report in reports.items()}
     done = run_together(jobs)
-    if check:
-        failed = [row["check"] for name in reports for row in done[name]]
-        if failed:
-            raise QualityError(", ".join(sorted(failed)))
+    failed = sorted(failure for name in reports for failure in done[name])
+    if failed:
+        raise QualityError(", ".join(failed))
     tables |= {name: done[name] for name in ("agg_weekly", "agg_monthly")}
     pointer.publish(spark, _log(root), WAREHOUSE, version, path)
     return tables
 
 
+def _failed(report: Callable[[], DataFrame]) -> list[str]:
+    """The checks of a report that do not hold; there is one row per check."""
+    return [row["check"] for row in report().where("ok IS NOT TRUE").collect()]
+
+
 def _log(root: str) -> str:
     return f"{root.rstrip('/')}/builds"
 

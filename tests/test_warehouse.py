@@ -228,12 +228,17 @@ def test_quality_figures(tables):
     assert set(counts) == set(DIMENSIONS + FACTS) and counts["fact_dengue_cases"] == 4
 
 
-def test_all_constraints_hold(tables):
-    report = quality.constraint_report(tables).unionByName(quality.unique_constraints(tables, FACTS))
-    assert report.where("violations <> 0").isEmpty()
-    names = [r["constraint"] for r in report.collect()]
-    assert sum("references" in n for n in names) == 17
-    assert sum("unique" in n for n in names) == 12
+def test_all_constraints_hold(spark, tables):
+    parts = (quality.unique_constraints, quality.not_null_constraints, quality.reference_constraints)
+    unique, not_null, references = (part(tables).collect() for part in parts)
+    assert all(r["violations"] == 0 for r in [*unique, *not_null, *references])
+    assert (len(unique), len(not_null), len(references)) == (12, 56, 17)
+
+
+def test_build_report_has_all_checks(spark, tables):
+    report = quality.build_report(warehouse.staged_tables(raw_of(spark)), tables)
+    got = dict(rows(report))
+    assert all(got.values()) and len(got) == 3 + 2 + 9 + 56 + 17
 
 
 def test_ensure_builds_once(spark, root, tables):
