@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwatch.functions.measures import round_half_away
+from panelwatch.session import materialise
 
 
 def top_groups(
@@ -42,10 +43,12 @@ def sample_rows(df: DataFrame, cap: int, row_id: Sequence[str], seed: int = 0) -
     hashed = df.withColumn("_digest", digest)
     wanted = min(total, cap + 10 * int(cap**0.5) + 100)
     threshold = f"{min(wanted * 16**8 // total + 1, 16**8 - 1):08x}"
-    candidates = hashed.where(F.col("_digest") <= F.lit(threshold + "f" * 24))
-    if candidates.limit(cap).count() < cap:
-        candidates = hashed
-    return candidates.orderBy("_digest", *row_id).limit(cap).drop("_digest")
+
+    def first(candidates: DataFrame) -> DataFrame:
+        return candidates.orderBy("_digest", *row_id).limit(cap).drop("_digest")
+
+    picked = materialise(first(hashed.where(F.col("_digest") <= F.lit(threshold + "f" * 24))), "sample")
+    return picked if picked.count() == cap else first(hashed)
 
 
 def grid_density(df: DataFrame, lat: str, lon: str, digits: int, by: Sequence[str] = ()) -> DataFrame:

@@ -39,37 +39,47 @@ def with_lineage(df: DataFrame, path: str, at: datetime) -> DataFrame:
     return df.withColumns({"_source_url": F.lit(path), "_ingested_at": F.lit(at.isoformat())})
 
 
-def _land_path(spark: SparkSession, store: RawStore, source: Source, path: str, at: datetime) -> tuple:
+def _land_path(
+    spark: SparkSession, store: RawStore, source: Source, path: str, at: datetime, copy: bool
+) -> tuple:
     version = pointer.new_version(at)
     landed = with_lineage(read_text_csv(spark, path), path, at)
     target = store.add(landed, source.name, version)
-    store.snapshot(spark, source.name, version)
+    store.snapshot(spark, source.name, version, copy=copy)
     rows = spark.read.parquet(target).count()
     return (source.name, source.disease, rows, len(landed.columns), path, target, None)
 
 
-def land(spark: SparkSession, store: RawStore, source: Source, at: datetime) -> tuple:
+def land(
+    spark: SparkSession, store: RawStore, source: Source, at: datetime, *, copy: bool = False
+) -> tuple:
     """Land a source; its lineage names the path that was read."""
     try:
-        return _land_path(spark, store, source, source.path, at)
+        return _land_path(spark, store, source, source.path, at, copy)
     except Exception:
         if source.fallback is None:
             raise
-    return _land_path(spark, store, source, source.fallback, at)
+    return _land_path(spark, store, source, source.fallback, at, copy)
 
 
 def ingest(
-    spark: SparkSession, store: RawStore, sources: Sequence[Source], at: datetime | None = None
+    spark: SparkSession,
+    store: RawStore,
+    sources: Sequence[Source],
+    at: datetime | None = None,
+    *,
+    copy: bool = False,
 ) -> DataFrame:
     """Land all sources; a failing one does not stop the others.
 
-    Returns one row per source. Those that failed have their `error` set.
+    Returns one row per source. Those that failed have their `error` set. `copy` gives
+    each snapshot files of its own.
     """
     at = at or datetime.now(timezone.utc)
     report = []
     for source in sources:
         try:
-            report.append(land(spark, store, source, at))
+            report.append(land(spark, store, source, at, copy=copy))
         except Exception as failure:
             report.append((source.name, source.disease, None, None, None, None, str(failure)))
     return spark.createDataFrame(report, REPORT)

@@ -30,16 +30,22 @@ class RawStore:
         return f"{self.root}/snapshot/log"
 
     def add(self, df: DataFrame, dataset: str, version: str) -> str:
-        """Write one version and make it the snapshot's source."""
+        """Write one version."""
         path = self.version_path(dataset, version)
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
         return path
 
-    def snapshot(self, spark: SparkSession, dataset: str, version: str) -> str:
-        """Replace the stable latest copy, by a new path that is then published."""
-        path = f"{self.root}/snapshot/{dataset}/{version}"
-        latest = spark.read.parquet(self.version_path(dataset, version))
-        latest.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    def snapshot(self, spark: SparkSession, dataset: str, version: str, *, copy: bool = False) -> str:
+        """Make a version the stable latest one.
+
+        The snapshot is the version itself, named in the log. With `copy` it gets files
+        of its own, for a history that is cleared.
+        """
+        path = self.version_path(dataset, version)
+        if copy:
+            latest = spark.read.parquet(path)
+            path = f"{self.root}/snapshot/{dataset}/{version}"
+            latest.write.mode("overwrite").option("compression", "snappy").parquet(path)
         pointer.publish(spark, self.snapshot_log, dataset, version, path)
         return path
 

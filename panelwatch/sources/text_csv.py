@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _BROKEN = "_corrupt_record"
-_OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "inferSchema": False}
+_FORMAT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+_FILE = {"header": True, "encoding": "UTF-8", "inferSchema": False, **_FORMAT}
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
 
 
 def quotes_span_lines(spark: SparkSession, path: str) -> bool:
     """Whether a quoted field holds a line break. Such a field leaves a line with an odd
     number of quotes; the search is distributed and stops at the first one."""
-    text = F.col("value")
-    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(path).where(_quotes(F.col("value")) % 2 == 1).isEmpty()
 
 
 def field_count(record: Column) -> Column:
@@ -24,26 +26,76 @@ def field_count(record: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """Every column a string, under the header's names, with '' for empty.
 
     A byte order mark is dropped and undecodable bytes are replaced. Rows shorter than
     the header are filled with ''; a longer row fails the job. Files are split among
-    tasks unless a quoted field spans lines, where only whole files can be parsed.
+    tasks, also where quoted fields hold line breaks.
     """
-    reader = spark.read.options(**_OPTIONS, multiLine=quotes_span_lines(spark, path))
-    header = reader.csv(path).columns
-    names = [*header, _BROKEN]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    rows = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN).schema(schema).csv(path)
+    spanning = quotes_span_lines(spark, path)
+    header = spark.read.options(**_FILE, multiLine=spanning).csv(path).columns
+    schema = ", ".join(f"{_name(c)} string" for c in [*header, _BROKEN])
+    if spanning:
+        parsed = F.from_csv(F.col("record"), schema, _FORMAT)
+        rows = multiline_records(spark, path).select(parsed.alias("row")).select("row.*")
+    else:
+        rows = spark.read.options(**_FILE).schema(schema).csv(path)
     broken = F.col(_BROKEN)
     too_long = broken.isNotNull() & (field_count(broken) > len(header))
     failure = F.raise_error(F.concat(F.lit(f"more than {len(header)} fields: "), broken))
-    filled = [F.coalesce(_quoted(c), F.lit("")).alias(c) for c in header]
+    first, *others = [F.coalesce(F.col(_name(c)), F.lit("")) for c in header]
     # The check sits in the first column, so it holds whenever that one is read.
-    filled[0] = F.when(too_long, failure).otherwise(F.coalesce(_quoted(header[0]), F.lit(""))).alias(header[0])
-    return rows.select(*filled)
+    checked = [F.when(too_long, failure).otherwise(first), *others]
+    return rows.select(*[column.alias(name) for column, name in zip(checked, header)])
+
+
+def multiline_records(spark: SparkSession, path: str) -> DataFrame:
+    """`record`: the records after the header, where quoted fields may hold line breaks.
+
+    A line starts a record if the number of quotes before it in the file is even. The
+    lines of each split are counted on their own; the splits of a file then pass the
+    parity on, and the split in which an unfinished record began. A group is a split or
+    a record, never a file.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("value").alias("line"),
+        meta["file_path"].alias("file"),
+        meta["file_block_start"].alias("split"),
+        F.monotonically_increasing_id().alias("place"),
+        (_quotes(F.col("value")) % 2).alias("odd"),
+    )
+    in_split = Window.partitionBy("file", "split").orderBy("place")
+    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("before", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
 
+    splits = counted.groupBy("file", "split").agg(
+        F.sum("odd").alias("odd"),
+        F.count_if(F.col("before") == 0).alias("even_lines"),
+        F.count_if(F.col("before") == 1).alias("odd_lines"),
+    )
+    in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    opened = splits.select(
+        "file", "split", "even_lines", "odd_lines",
+        (F.coalesce(F.sum("odd").over(in_file), F.lit(0)) % 2).alias("open"),
+    ).withColumn("records", F.when(F.col("open") == 0, F.col("even_lines")).otherwise(F.col("odd_lines")))
+    last_start = F.when(F.col("records") > 0, F.struct(F.col("split"), F.col("records").alias("number")))
+    carried = opened.select("file", "split", "open", F.last(last_start, True).over(in_file).alias("carried"))
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    starts = (F.col("before") + F.col("open")) % 2 == 0
+    number = F.sum(F.when(starts, 1).otherwise(0)).over(in_split)
+    numbered = counted.join(carried, ["file", "split"]).withColumn("number", number)
+    own = F.struct("split", "number")
+    placed = numbered.withColumn("record_id", F.when(F.col("number") > 0, own).otherwise(F.col("carried")))
+    pieces = F.array_sort(F.collect_list(F.struct("split", "place", "line")))
+    records = placed.groupBy("file", "record_id").agg(pieces.alias("pieces"))
+    joined = records.select(
+        "record_id", F.rtrim(F.array_join(F.col("pieces.line"), "\n"), F.lit("\r")).alias("record")
+    )
+    is_header = (F.col("record_id.split") == 0) & (F.col("record_id.number") == 1)
+    return joined.where(~is_header & (F.col("record") != "")).select("record")

@@ -56,6 +56,40 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert rows(read_text_csv(spark, path), "b") == [("two\nlines", "1"), ("plain", "2")]
 
 
+@pytest.mark.parametrize("split_bytes", ["40", "97", "100000"])
+def test_quoted_line_breaks_across_splits(spark, tmp_path, split_bytes):
+    expected = []
+    for f in range(2):
+        records = ["a,b,c"]
+        for i in range(40):
+            note = "\n".join([f'line {k} ""x"", y' for k in range(i % 4)])
+            quoted = i % 3 == 0 or '"' in note
+            records.append(f'{f}-{i},"{note}",z{i}' if quoted else f"{f}-{i},{note},z{i}")
+            expected.append((f"{f}-{i}", note.replace('""', '"'), f"z{i}"))
+        end = "\n" if f else "\r\n"
+        write(tmp_path / "many" / f"{f}.csv", "\ufeff" + end.join(records) + end)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = rows(read_text_csv(spark, str(tmp_path / "many")))
+        starts = spark.read.text(str(tmp_path / "many")).select("_metadata.file_path", "_metadata.file_block_start")
+        splits = starts.distinct().count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(got) == sorted(expected)
+    assert (splits == 2) == (split_bytes == "100000")
+
+
+def test_long_and_short_rows_with_quoted_line_breaks(spark, tmp_path):
+    short = write(tmp_path / "short.csv", 'a,b,c\n"1\n1",2\n\n3,4,5\n')
+    assert rows(read_text_csv(spark, short), "a") == [("1\n1", "2", ""), ("3", "4", "5")]
+    long = write(tmp_path / "long.csv", 'a,b\n"1\n1",2,3\n')
+    with pytest.raises(PySparkException, match="more than 2 fields"):
+        read_text_csv(spark, long).collect()
+
+
 def test_field_count_ignores_quoted_separators(spark):
     df = spark.createDataFrame([('a,"b,""c,",d',), ("",), (",,",)], "r string")
     assert [r[0] for r in df.select(field_count(F.col("r"))).collect()] == [3, 1, 3]
@@ -123,6 +157,16 @@ def test_latest_without_snapshot_is_the_newest_version(spark, tmp_path):
     assert store.latest(spark, "d").count() == 1
 
 
+@pytest.mark.parametrize("copy", [False, True])
+def test_snapshot_with_and_without_files_of_its_own(spark, tmp_path, copy):
+    store = RawStore(str(tmp_path / "store"))
+    good = write(tmp_path / "good.csv", "a,b\n1,2\n")
+    ingest(spark, store, [Source("d", "x", good)], AT, copy=copy)
+    (file,) = store.latest(spark, "d").inputFiles()
+    assert ("/snapshot/d/" in file) == copy
+    assert rows(store.latest(spark, "d").select("a", "b")) == [("1", "2")]
+
+
 def test_a_failed_ingest_keeps_the_snapshot(spark, tmp_path):
     store = RawStore(str(tmp_path / "store"))
     good = write(tmp_path / "good.csv", "a,b\n1,2\n")
