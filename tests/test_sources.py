@@ -79,7 +79,7 @@ def test_quoted_line_breaks_across_splits(spark, tmp_path, split_bytes):
         for key, value in before.items():
             spark.conf.set(key, value)
     assert sorted(got) == sorted(expected)
-    assert (splits == 2) == (split_bytes == "100000")
+    assert splits > (20 if split_bytes == "40" else 1)
 
 
 def test_long_and_short_rows_with_quoted_line_breaks(spark, tmp_path):
