@@ -394,12 +394,23 @@ UNION ALL SELECT 'dengue_daily', '登革熱', count(*), 17 FROM src_dengue""",
         "monthly_trend": on(m, "SELECT * FROM monthly_trend"),
         "monthly_rank": on(m, "SELECT * FROM monthly_rank"),
         # Query API.
+        "observed_diseases": on(
+            f,
+            """SELECT disease_code, disease_name FROM dim_disease WHERE disease_key IN (
+  SELECT disease_key FROM fact_nhi_visits UNION SELECT disease_key FROM fact_covid_cases
+  UNION SELECT disease_key FROM fact_dengue_cases) ORDER BY disease_key""",
+        ),
         "counties": on(w, "SELECT county_name FROM shown ORDER BY county_name"),
         "county_count": on(w, "SELECT count(*) AS counties FROM shown"),
         "trend_line": on(
             w,
             f"""SELECT week_start_date, metric_value, ma4, ma8, wow_growth_pct FROM weekly_trend
 WHERE {LINE} ORDER BY week_start_date""",
+        ),
+        "line_by_sql": on(
+            w,
+            """SELECT week_start_date, metric_value, ma4, ma8, wow_growth_pct FROM weekly_trend
+WHERE disease_code = 'FLU' AND county_name = 'NATION_3' ORDER BY week_start_date""",
         ),
         "kpis": on(
             w,
@@ -552,6 +563,9 @@ FROM (SELECT ma4, round(avg(metric_value) OVER (ORDER BY week_start_date ROWS 3
       FROM weekly_trend WHERE disease_code = 'FLU' AND county_name = 'NATION_3' AND iso_year = 1999)""",
         ),
         # Profiles of the raw text.
+        "labels_by_sql": on(
+            (SOURCES, STAGED), "SELECT age_label, gender_code, count(*) AS n_rows FROM stg_dengue GROUP BY ALL"
+        ),
         "flu_values": on(
             (SOURCES,), f"SELECT column_name, value, count(*) AS n_rows FROM ({_profile('src_flu', FLU_PROFILE)}) GROUP BY ALL"
         ),

@@ -13,6 +13,7 @@ from bindings import warehouse as bound
 from bindings.feeds import table
 from panelwatch.functions import calendar
 from panelwatch.functions.measures import rate
+from panelwatch.functions.sql import register_functions
 from panelwatch.operators import profile
 from panelwatch.operators.lookup import lookup
 from panelwatch.operators.panel import WEEK, densify, sparse_panel
@@ -196,6 +197,24 @@ def rows_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rows_landed(staged, bound.tables(spark, sf_dir))
 
 
+def line_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line asked for in SQL, with bound parameters."""
+    analytics.register_views(bound.tables(spark, sf_dir))
+    text = """
+        SELECT week_start_date, metric_value, ma4, ma8, wow_growth_pct FROM v_weekly_trend
+        WHERE disease_code = :disease AND county_name = :county ORDER BY week_start_date"""
+    return spark.sql(text, args={"disease": "FLU", "county": COUNTY})
+
+
+def labels_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age and gender labels of the case list, cleaned by the SQL functions."""
+    register_functions(spark)
+    labels = bound.landed(spark, sf_dir).dengue.selectExpr(
+        f"age_canon(`{staging.AGE}`) AS age_label", f"norm_gender(`{staging.GENDER}`) AS gender_code"
+    )
+    return labels.groupBy("age_label", "gender_code").agg(F.count("*").alias("n_rows"))
+
+
 def flu_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = staging
     return profile.value_counts(bound.landed(spark, sf_dir).flu, [s.VISIT_TYPE, s.VISIT_AGE, s.COUNTY, s.WEEK])
@@ -262,9 +281,11 @@ QUERIES: dict[str, Query] = {
     "monthly_dense": _wh(analytics.monthly_dense),
     "monthly_trend": _wh(analytics.monthly_trend),
     "monthly_rank": _wh(analytics.monthly_rank),
+    "observed_diseases": _wh(api.observed_diseases),
     "counties": _wh(api.counties),
     "county_count": _wh(api.county_count),
     "trend_line": _wh(api.weekly_trend, DISEASE, COUNTY),
+    "line_by_sql": line_by_sql,
     "kpis": _wh(api.weekly_kpis, DISEASE, COUNTY),
     "kpis_of_no_line": _wh(api.weekly_kpis, DISEASE, "NOWHERE"),
     "disease_weeks": _wh(api.weekly_weeks, "FLU"),
@@ -298,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "top_counties_by_visits": _wh(quality.top_counties_by_visits, "FLU"),
     "sparse_and_dense_rows": _wh(quality.sparse_and_dense_rows),
     "recomputed_mean": _wh(quality.recomputed_mean, "FLU", COUNTY, 1999),
+    "labels_by_sql": labels_by_sql,
     "flu_values": flu_values,
     "covid_values": covid_values,
     "dengue_extent": dengue_extent,

@@ -12,6 +12,7 @@ from panelwatch.functions.measures import direction
 from panelwatch.operators.pick import grid_density, latest, peak, sample_rows, top_groups
 from panelwatch.plans import analytics
 from panelwatch.plans.analytics import known_counties, maximum_of, total
+from panelwatch.plans.schema import FACTS
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,6 +24,13 @@ def diseases(tables: Tables) -> DataFrame:
     return tables["dim_disease"].orderBy("disease_key").select("disease_code", "disease_name")
 
 
+def observed_diseases(tables: Tables) -> DataFrame:
+    """The diseases that have facts."""
+    keys = [tables[fact].select("disease_key").distinct() for fact in FACTS]
+    seen = keys[0].union(keys[1]).union(keys[2])
+    return diseases({"dim_disease": tables["dim_disease"].join(seen, "disease_key", "left_semi")})
+
+
 def counties(tables: Tables) -> DataFrame:
     return known_counties(tables["dim_geography"]).orderBy("county_name")
 
@@ -116,9 +124,7 @@ def map_density(tables: Tables, year: int | None = None, digits: int = 2) -> Dat
 
 
 def fact_total(tables: Tables) -> DataFrame:
-    return total(
-        [tables["fact_nhi_visits"], tables["fact_covid_cases"], tables["fact_dengue_cases"]], "facts"
-    )
+    return total([tables[fact] for fact in FACTS], "facts")
 
 
 def onset_span(tables: Tables) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelwatch.functions import calendar, clean, measures
+from panelwatch.functions.sql import register_functions
 
 
 def values(spark, column_type, items, expression):
@@ -71,6 +72,13 @@ def test_strict_cast_fails_on_text_and_overflow(spark):
             values(spark, "string", [text], lambda x: clean.strict_cast(x, "tinyint"))
 
 
+def test_sql_functions(spark):
+    register_functions(spark)
+    register_functions(spark)
+    got = spark.sql("SELECT age_canon(a), norm_gender(g) FROM VALUES ('0~2', 'M'), ('65+', 'X'), (NULL, NULL) AS t(a, g)")
+    assert [tuple(r) for r in got.collect()] == [("0-2", "M"), ("65+", "U"), (None, "U")]
+
+
 def test_blank_and_flag(spark):
     assert values(spark, "string", ["", "a", None], clean.blank_to_null) == [None, "a", None]
     assert values(spark, "string", ["", "a", None], clean.is_blank) == [True, False, True]
