@@ -10,7 +10,7 @@ from panelwatch.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tests")
+    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()
 

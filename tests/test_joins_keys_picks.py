@@ -40,7 +40,7 @@ def test_split_join_spreads_the_hot_key(spark, skewed, dim):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert sum(sizes) == 6000
     assert worst > 2000 and max(sizes) < worst / 2
 

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from panelwatch.plans import analytics, api, dimensions, quality, staging, warehouse
+from panelwatch.plans import analytics, api, dimensions, facts, quality, staging, warehouse
 from panelwatch.plans.dimensions import RawTables
 from panelwatch.plans.schema import DIMENSIONS, FACTS, TABLES
 from panelwatch.sources.ingest import DATASETS
@@ -262,36 +262,56 @@ def broken(rows_, column_names, column, value, at=0):
     return [tuple(r) for r in out]
 
 
-@pytest.mark.parametrize(
-    "change, failure",
-    [
-        (lambda: {"flu": broken(FLU_ROWS, FLU, "類流感健保就診人次", "abc")}, "visit_count not null"),
-        (lambda: {"flu": broken(FLU_ROWS, FLU, "類流感健保就診人次", "-3")}, "negative"),
-        (lambda: {"ev": broken(EV_ROWS, EV, "縣市", "外島")}, "fact_nhi_visits rows landed"),
-        (lambda: {"covid": broken(COVID_ROWS, COVID, "縣市", "外島")}, "fact_covid_cases rows landed"),
-        (lambda: {"flu": broken(FLU_ROWS, FLU, "縣市別代碼", "1", 1)}, "unique"),
-        (lambda: {"dengue": broken(DENGUE_ROWS, DENGUE, "發病日", "1997/12/31")}, "onset_date_key references dim_date"),
-        (lambda: {"dengue": [r[:12] + ("", "", "1") for r in DENGUE_ROWS]}, "geocoded"),
-    ],
-)
-def test_a_failed_check_publishes_nothing(spark, tmp_path, change, failure):
-    with pytest.raises(warehouse.QualityError, match=failure):
-        warehouse.build(raw_of(spark, **change()), str(tmp_path))
+def test_a_failed_build_names_its_checks_and_publishes_nothing(spark, tmp_path):
+    flu = broken(FLU_ROWS, FLU, "類流感健保就診人次", "abc")
+    flu = broken(flu, FLU, "健保就診總人次", "", 1)
+    flu = broken(flu, FLU, "類流感健保就診人次", "-3", 2)
+    raw = raw_of(
+        spark,
+        flu=broken(flu, FLU, "縣市別代碼", "1", 1),
+        covid=broken(COVID_ROWS, COVID, "縣市", "外島"),
+        dengue=broken([r[:12] + ("", "", "1") for r in DENGUE_ROWS], DENGUE, "發病日", "1997/12/31"),
+    )
+    with pytest.raises(warehouse.QualityError) as failure:
+        warehouse.build(raw, str(tmp_path))
+    assert set(str(failure.value).split(", ")) >= {
+        "fact_nhi_visits.visit_count not null",
+        "fact_nhi_visits.total_visit_count not null",
+        "no negative visit_count",
+        "fact_covid_cases rows landed",
+        "fact_dengue_cases.onset_date_key references dim_date",
+        "some cases geocoded",
+    }
+    assert "dim_geography(county_name, town_name) unique" in str(failure.value)
+    assert "dim_gender" not in str(failure.value)
     assert warehouse.open_warehouse(spark, str(tmp_path)) is None
 
 
-@pytest.mark.parametrize(
-    "change",
-    [
-        lambda: {"dengue": broken(DENGUE_ROWS, DENGUE, "發病日", "bad")},
-        lambda: {"dengue": broken(DENGUE_ROWS, DENGUE, "通報日", "bad")},
-        lambda: {"flu": broken(FLU_ROWS, FLU, "年", "x")},
-        lambda: {"flu": broken(FLU_ROWS, FLU, "年齡別", "-")},
-    ],
-)
-def test_malformed_keys_abort_the_build(spark, tmp_path, change):
+def test_a_county_missing_from_the_map_loses_its_visits(spark, tables):
+    raw = raw_of(spark, ev=broken(EV_ROWS, EV, "縣市", "外島"))
+    staged = warehouse.staged_tables(raw)
+    loaded = {**tables, "fact_nhi_visits": facts.load_nhi(staged["stg_nhi"], tables)}
+    assert dict(rows(quality.rows_landed(staged, loaded))) == {
+        "fact_nhi_visits rows landed": False,
+        "fact_covid_cases rows landed": True,
+        "fact_dengue_cases rows landed": True,
+    }
+
+
+@pytest.mark.parametrize("column", ["發病日", "通報日", "個案研判日"])
+def test_malformed_dates_abort(spark, tables, column):
+    raw = raw_of(spark, dengue=broken(DENGUE_ROWS, DENGUE, column, "bad"))
+    with pytest.raises(PySparkException, match="malformed date: bad"):
+        facts.load_dengue(staging.stage_dengue(raw.dengue), tables).collect()
+
+
+def test_malformed_weeks_and_ages_abort(spark, tables):
+    raw = raw_of(spark, flu=broken(FLU_ROWS, FLU, "年", "x"))
     with pytest.raises(PySparkException, match="malformed"):
-        warehouse.build(raw_of(spark, **change()), str(tmp_path))
+        facts.load_nhi(staging.stage_nhi(raw.flu, raw.ev), tables).collect()
+    raw = raw_of(spark, flu=broken(FLU_ROWS, FLU, "年齡別", "-"))
+    with pytest.raises(PySparkException, match="malformed"):
+        dimensions.age_dimension(dimensions.members(raw)).collect()
 
 
 def test_views_can_be_queried_by_name(spark, tables):
@@ -324,8 +344,6 @@ def test_disease_filter_drops_the_other_branch(spark):
 
 
 def test_fact_load_does_not_shuffle(spark, tables):
-    from panelwatch.plans import facts
-
     staged = warehouse.staged_tables(raw_of(spark))
     for load, stage in ((facts.load_nhi, "stg_nhi"), (facts.load_covid, "stg_covid"), (facts.load_dengue, "stg_dengue")):
         text = load(staged[stage], tables)._jdf.queryExecution().executedPlan().toString()
