@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.functions import calendar
-from panelwatch.operators.lookup import lookup
+from panelwatch.operators.lookup import fits_broadcast, lookup
 from panelwatch.plans import staging as c
 from panelwatch.plans.dimensions import RawTables
 
@@ -60,21 +60,18 @@ def _nations(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the county of their customer."""
-    return _with_customer(spark, sf_dir, table(spark, sf_dir, "orders"))
-
-
-def _with_customer(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment"
     )
-    return lookup(lookup(orders, customers, ["o_custkey"]), _nations(spark, sf_dir, "c"), ["c_nationkey"])
+    orders = lookup(table(spark, sf_dir, "orders"), customers, ["o_custkey"])
+    return lookup(orders, _nations(spark, sf_dir, "c"), ["c_nationkey"])
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the county of their supplier."""
+def _with_supplier(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Line items, or what was joined to them, with the county of their supplier."""
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    lines = lookup(table(spark, sf_dir, "lineitem"), suppliers, ["l_suppkey"])
-    return lookup(lines, _nations(spark, sf_dir, "s"), ["s_nationkey"])
+    supplied = lookup(lines, suppliers, ["l_suppkey"], keys_of=table(spark, sf_dir, "lineitem"))
+    return lookup(supplied, _nations(spark, sf_dir, "s"), ["s_nationkey"])
 
 
 def flu(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +95,7 @@ def flu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
-    return _lines(spark, sf_dir).select(
+    return _with_supplier(spark, sf_dir, table(spark, sf_dir, "lineitem")).select(
         calendar.iso_year(_day("l_shipdate")).cast("string").alias(c.YEAR),
         calendar.iso_week(_day("l_shipdate")).cast("string").alias(c.WEEK),
         choose(F.col("l_linestatus"), {"O": "門診"}, "急診").alias(c.VISIT_TYPE),
@@ -135,10 +132,14 @@ def covid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dengue(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
     segment = F.col("c_mktsegment")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
+    orders = table(spark, sf_dir, "orders")
+    homes = _orders(spark, sf_dir).select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "c_mktsegment", "c_county"
     )
-    cases = _with_customer(spark, sf_dir, lookup(_lines(spark, sf_dir), orders, ["l_orderkey"]))
+    lines = table(spark, sf_dir, "lineitem")
+    # The joined homes are as many as the orders, whose number the file footers tell.
+    at_home = lookup(lines, homes, ["l_orderkey"], small=fits_broadcast(orders))
+    cases = _with_supplier(spark, sf_dir, at_home)
     unknown_home = (segment == "MACHINERY") & (status == "O") & (returned == "N")
     lon = F.concat(F.lit("120."), F.lpad(F.pmod("l_partkey", F.lit(100)).cast("string"), 2, "0"))
     lat = F.concat(F.lit("22."), F.lpad(F.pmod("l_suppkey", F.lit(100)).cast("string"), 2, "0"))

@@ -29,23 +29,30 @@ def lookup(
     how: str = "inner",
     *,
     small: bool | None = None,
+    keys_of: DataFrame | None = None,
     pieces: int = PIECES,
 ) -> DataFrame:
     """Join `facts` to a dimension that is unique in `on`, inner or left.
 
     A dimension proven small is broadcast, so the facts do not move. A larger one is
     joined by `split_join`. The result is the same either way. `small` passes on a size
-    check that the caller has made.
+    check that the caller has made; `keys_of` is explained there.
     """
     if small is None:
         small = fits_broadcast(dim)
     if small:
         return facts.join(F.broadcast(dim), list(on), how)
-    return split_join(facts, dim, on, how, pieces=pieces)
+    return split_join(facts, dim, on, how, keys_of=keys_of, pieces=pieces)
 
 
 def split_join(
-    facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", *, pieces: int = PIECES
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    keys_of: DataFrame | None = None,
+    pieces: int = PIECES,
 ) -> DataFrame:
     """A shuffled join that spreads hot keys.
 
@@ -54,10 +61,13 @@ def split_join(
     are dealt out to as many salts as it has pieces, and its dimension row is repeated
     once per salt. All other keys have the one salt 0. Rows with a NULL key, which match
     nothing, are dealt out as well.
+
+    The counts only steer how rows are dealt out. `keys_of` names a table to count in
+    that is cheaper than `facts`, such as the one they were joined from.
     """
     on = list(on)
-    counts = facts.groupBy(*on).agg(F.count("*").alias("_n"))
-    piece = F.greatest(F.lit(1), facts.agg(F.ceil(F.count("*") / F.lit(pieces))).scalar())
+    counts = (facts if keys_of is None else keys_of).groupBy(*on).agg(F.count("*").alias("_n"))
+    piece = F.greatest(F.lit(1), counts.agg(F.ceil(F.sum("_n") / F.lit(pieces))).scalar())
     hot = materialise(
         counts.where(F.col("_n") > piece).select(*on, F.ceil(F.col("_n") / piece).cast("int").alias("_salts")),
         "hot_keys",

@@ -19,43 +19,45 @@ from panelwatch.plans.schema import UNKNOWN_COUNTY, columns
 Dimensions = Mapping[str, DataFrame]
 
 
-def _attach(staged: DataFrame, dims: Dimensions, dim: str, names: dict[str, str], how="inner") -> DataFrame:
+def _attach(
+    rows: DataFrame, staged: DataFrame, dims: Dimensions, dim: str, names: dict[str, str], how: str = "inner"
+) -> DataFrame:
     """Look up a dimension's key by its natural key; `names` are the names both get here.
 
-    Diseases and genders are fixed seeds, the others have their size checked.
+    Diseases and genders are fixed seeds, the others have their size checked. Hot keys
+    are counted in the staged rows, not behind the lookups made before.
     """
     *natural, _ = names.values()
     seeded = dim in ("dim_disease", "dim_gender")
     table = dims[dim].select(*[F.col(column).alias(name) for column, name in names.items()])
-    return lookup(staged, table, natural, how, small=True if seeded else None)
+    return lookup(rows, table, natural, how, small=True if seeded else None, keys_of=staged)
 
 
 def _with_codes(staged: DataFrame, dims: Dimensions, *, gender: bool) -> DataFrame:
     def same(*names: str) -> dict[str, str]:
         return dict(zip(names, names))
 
-    keyed = _attach(staged, dims, "dim_disease", same("disease_code", "disease_key"))
-    keyed = _attach(keyed, dims, "dim_age_group", same("age_label", "age_key"))
+    keyed = _attach(staged, staged, dims, "dim_disease", same("disease_code", "disease_key"))
+    keyed = _attach(keyed, staged, dims, "dim_age_group", same("age_label", "age_key"))
     if gender:
-        keyed = _attach(keyed, dims, "dim_gender", same("gender_code", "gender_key"))
+        keyed = _attach(keyed, staged, dims, "dim_gender", same("gender_code", "gender_key"))
     return keyed
 
 
 def _with_place(
-    staged: DataFrame, dims: Dimensions, county: str, town: str, key: str, how: str = "inner"
+    rows: DataFrame, staged: DataFrame, dims: Dimensions, county: str, town: str, key: str, how: str = "inner"
 ) -> DataFrame:
     """The geography in one of its roles."""
-    return _attach(
-        staged, dims, "dim_geography", {"county_name": county, "town_name": town, "geo_key": key}, how
-    )
+    names = {"county_name": county, "town_name": town, "geo_key": key}
+    return _attach(rows, staged, dims, "dim_geography", names, how)
 
 
 def load_nhi(staged: DataFrame, dims: Dimensions) -> DataFrame:
     """Weekly visits at the Monday of their ISO week. Year and week stay as the source
     gives them, also where a week 53 belongs to the next year."""
-    county_level = F.lit("").alias("town_name")
-    coded = _with_codes(staged.select("*", county_level), dims, gender=False)
-    keyed = _with_place(coded, dims, "county_name", "town_name", "geo_key")
+    county_level = staged.withColumn("town_name", F.lit(""))
+    coded = _with_codes(county_level, dims, gender=False)
+    keyed = _with_place(coded, county_level, dims, "county_name", "town_name", "geo_key")
     year = strict_cast(F.col("iso_year"), "int")
     week = strict_cast(F.col("iso_week"), "int")
     return keyed.select(
@@ -75,8 +77,9 @@ def load_nhi(staged: DataFrame, dims: Dimensions) -> DataFrame:
 
 def load_covid(staged: DataFrame, dims: Dimensions) -> DataFrame:
     """Monthly counts at the first day of their month."""
-    coded = _with_codes(staged.withColumn("disease_code", F.lit("19CoV")), dims, gender=True)
-    keyed = _with_place(coded, dims, "county_name", "town_name", "geo_key")
+    tagged = staged.withColumn("disease_code", F.lit("19CoV"))
+    coded = _with_codes(tagged, dims, gender=True)
+    keyed = _with_place(coded, tagged, dims, "county_name", "town_name", "geo_key")
     return keyed.select(
         F.monotonically_increasing_id().alias("covid_id"),
         calendar.month_key(F.col("onset_year"), F.col("onset_month")).alias("date_key"),
@@ -108,8 +111,8 @@ def load_dengue(staged: DataFrame, dims: Dimensions) -> DataFrame:
         }
     )
     coded = _with_codes(prepared, dims, gender=True)
-    keyed = _with_place(coded, dims, "res_county", "res_town", "residence_geo_key")
-    keyed = _with_place(keyed, dims, "inf_county", "inf_town", "infection_geo_key", "left")
+    keyed = _with_place(coded, prepared, dims, "res_county", "res_town", "residence_geo_key")
+    keyed = _with_place(keyed, prepared, dims, "inf_county", "inf_town", "infection_geo_key", "left")
     return keyed.select(
         F.monotonically_increasing_id().alias("dengue_case_id"),
         calendar.date_key(F.col("onset_date")).alias("onset_date_key"),

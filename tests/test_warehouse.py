@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
+from panelwatch.operators import lookup
 from panelwatch.plans import analytics, api, dimensions, facts, quality, staging, warehouse
 from panelwatch.plans.dimensions import RawTables
 from panelwatch.plans.schema import DIMENSIONS, FACTS, TABLES
@@ -350,6 +351,20 @@ def test_fact_load_does_not_shuffle(spark, tables):
         assert "Exchange hashpartitioning" not in text and text.count("BroadcastHashJoin") >= 3
 
 
+def test_dimensions_too_large_to_broadcast_give_the_same_facts(spark, tables, monkeypatch):
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
+    staged = warehouse.staged_tables(raw_of(spark))
+    for load, stage, fact in (
+        (facts.load_nhi, "stg_nhi", "fact_nhi_visits"),
+        (facts.load_covid, "stg_covid", "fact_covid_cases"),
+        (facts.load_dengue, "stg_dengue", "fact_dengue_cases"),
+    ):
+        picked = tables[fact].columns[1:]
+        split = load(staged[stage], tables).select(picked)
+        assert split.exceptAll(tables[fact].select(picked)).isEmpty()
+        assert split.count() == tables[fact].count()
+
+
 def test_raw_tables_from_the_store(spark, tmp_path):
     store = RawStore(str(tmp_path))
     raw = raw_of(spark)
