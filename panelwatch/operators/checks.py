@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,19 +18,16 @@ def stack(parts: Sequence[DataFrame]) -> DataFrame:
     return stacked
 
 
-def counted(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
-    """Rows that meet each condition, all counted in one pass."""
-    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])
-    rows = [
-        F.struct(F.lit(name).alias("constraint"), F.col(f"`{name}`").alias("violations"))
-        for name in conditions
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+def counted(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
+    """Rows that meet each SQL condition, all counted in one pass."""
+    counts = df.agg(*[F.expr(f"count_if({condition})").alias(name) for name, condition in conditions.items()])
+    rows = ", ".join(f"'{name}', `{name}`" for name in conditions)
+    return counts.selectExpr(f"stack({len(conditions)}, {rows}) AS (constraint, violations)")
 
 
-def not_null(table: str, columns: Sequence[str]) -> dict[str, Column]:
+def not_null(table: str, columns: Sequence[str]) -> dict[str, str]:
     """Conditions for `counted`."""
-    return {f"{table}.{c} not null": F.col(c).isNull() for c in columns}
+    return {f"{table}.{c} not null": f"{c} IS NULL" for c in columns}
 
 
 def duplicate_keys(keys: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
@@ -65,22 +62,18 @@ def missing_references(
 
     def used_by(table: str) -> DataFrame:
         keys = [
-            F.struct(
-                F.lit(number).alias("_reference"),
-                F.lit(targets.index((dim, key))).alias("_target"),
-                F.col(column).cast("bigint").alias("_key"),
-            )
+            f"{number}, {targets.index((dim, key))}, CAST({column} AS BIGINT)"
             for number, (t, column, dim, key) in enumerate(checked)
             if t == table
         ]
-        return tables[table].select(F.inline(F.array(*keys)))
+        return tables[table].selectExpr(
+            f"stack({len(keys)}, {', '.join(keys)}) AS (_reference, _target, _key)"
+        )
 
     used = stack([used_by(t) for t in references]).distinct()
     known = stack(
         [
-            tables[dim].select(
-                F.lit(number).alias("_target"), F.col(key).cast("bigint").alias("_key"), F.lit(True).alias("_found")
-            )
+            tables[dim].selectExpr(f"{number} AS _target", f"CAST({key} AS BIGINT) AS _key", "true AS _found")
             for number, (dim, key) in enumerate(targets)
         ]
     )

@@ -33,15 +33,19 @@ def _attach(
     return lookup(rows, table, natural, how, small=True if seeded else None, keys_of=staged)
 
 
-def _with_codes(staged: DataFrame, dims: Dimensions, *, gender: bool) -> DataFrame:
+def _with_codes(staged: DataFrame, dims: Dimensions, disease: str | None = None) -> DataFrame:
+    """Look up the codes a source has. A source of one `disease` has no column for it, but
+    for the gender: its key is a scalar subquery rather than a join with one row."""
+
     def same(*names: str) -> dict[str, str]:
         return dict(zip(names, names))
 
-    keyed = _attach(staged, staged, dims, "dim_disease", same("disease_code", "disease_key"))
-    keyed = _attach(keyed, staged, dims, "dim_age_group", same("age_label", "age_key"))
-    if gender:
-        keyed = _attach(keyed, staged, dims, "dim_gender", same("gender_code", "gender_key"))
-    return keyed
+    keyed = _attach(staged, staged, dims, "dim_age_group", same("age_label", "age_key"))
+    if disease is None:
+        return _attach(keyed, staged, dims, "dim_disease", same("disease_code", "disease_key"))
+    keyed = _attach(keyed, staged, dims, "dim_gender", same("gender_code", "gender_key"))
+    one = dims["dim_disease"].where(F.col("disease_code") == disease).select("disease_key")
+    return keyed.withColumn("disease_key", one.scalar())
 
 
 def _with_place(
@@ -56,7 +60,7 @@ def load_nhi(staged: DataFrame, dims: Dimensions) -> DataFrame:
     """Weekly visits at the Monday of their ISO week. Year and week stay as the source
     gives them, also where a week 53 belongs to the next year."""
     county_level = staged.withColumn("town_name", F.lit(""))
-    coded = _with_codes(county_level, dims, gender=False)
+    coded = _with_codes(county_level, dims)
     keyed = _with_place(coded, county_level, dims, "county_name", "town_name", "geo_key")
     year = strict_cast(F.col("iso_year"), "int")
     week = strict_cast(F.col("iso_week"), "int")
@@ -77,9 +81,8 @@ def load_nhi(staged: DataFrame, dims: Dimensions) -> DataFrame:
 
 def load_covid(staged: DataFrame, dims: Dimensions) -> DataFrame:
     """Monthly counts at the first day of their month."""
-    tagged = staged.withColumn("disease_code", F.lit("19CoV"))
-    coded = _with_codes(tagged, dims, gender=True)
-    keyed = _with_place(coded, tagged, dims, "county_name", "town_name", "geo_key")
+    coded = _with_codes(staged, dims, "19CoV")
+    keyed = _with_place(coded, staged, dims, "county_name", "town_name", "geo_key")
     return keyed.select(
         F.monotonically_increasing_id().alias("covid_id"),
         calendar.month_key(F.col("onset_year"), F.col("onset_month")).alias("date_key"),
@@ -104,13 +107,12 @@ def load_dengue(staged: DataFrame, dims: Dimensions) -> DataFrame:
     homeless = is_blank(F.col("res_county"))
     prepared = staged.withColumns(
         {
-            "disease_code": F.lit("DENGUE"),
             "res_town": F.when(homeless, F.lit("")).otherwise(F.col("res_town")),
             "res_county": F.when(homeless, F.lit(UNKNOWN_COUNTY[1])).otherwise(F.col("res_county")),
             "inf_county": blank_to_null(F.col("inf_county")),
         }
     )
-    coded = _with_codes(prepared, dims, gender=True)
+    coded = _with_codes(prepared, dims, "DENGUE")
     keyed = _with_place(coded, prepared, dims, "res_county", "res_town", "residence_geo_key")
     keyed = _with_place(keyed, prepared, dims, "inf_county", "inf_town", "infection_geo_key", "left")
     return keyed.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwatch.functions.measures import percent, round_half_away
@@ -28,7 +28,7 @@ def unique_constraints(tables: Tables, names=DIMENSIONS + FACTS) -> DataFrame:
     )
 
 
-def _not_null(table: str) -> dict[str, Column]:
+def _not_null(table: str) -> dict[str, str]:
     return checks.not_null(table, [c for c in columns(table) if c not in NULLABLE.get(table, ())])
 
 

@@ -28,6 +28,8 @@ def local_session(cpus: int = 8, app: str = "panelwatch", **conf: str) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Recording the call site of every expression costs more than planning a build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
