@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as driver
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = driver.registry.QUERIES, driver.oracle.statements()
 TYPES = {
     "BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "TINYINT": "tinyint", "VARCHAR": "string",
     "DOUBLE": "double", "BOOLEAN": "boolean", "DATE": "date",
