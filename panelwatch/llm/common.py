@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,12 @@ from panelwatch.session import materialise
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def run_anywhere(module: str) -> None:
+    """Send the functions of a module to Python workers by value, so that a worker that cannot import
+    this package (a session started without --py-files) can run them."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop extra columns whose names an operator needs for its own, in any case of letters."""
     taken = {n.lower() for n in names}
