@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwatch.llm import mixing, sharding
+from panelwatch.llm import chat, decontamination, language, maxscore, mixing, secrets, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_format_chats": chat.op2_format_chats,
+    "op3_url_filter": urls.op3_url_filter,
+    "op5_decontaminate": decontamination.op5_decontaminate,
+    "op6_language": language.op6_language,
+    "op7_top_k": maxscore.op7_top_k,
+    "op8_near_duplicates": simhash.op8_near_duplicates,
+    "op9_secrets": secrets.op9_secrets,
     "op10_shard_documents": sharding.op10_shard_documents,
 }
 
 SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
+    "op7_top_k": maxscore.SQL,
 }

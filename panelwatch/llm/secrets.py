@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwatch.llm.common import run_anywhere, without
 
@@ -118,7 +119,12 @@ def find(text: str) -> list[tuple[int, int, str]]:
     return sorted(rows, key=lambda r: (r[0], order[r[2]], r[1]))
 
 
-@F.arrow_udf("array<struct<kind: string, start: int, end: int>>")
+_SPANS = T.ArrayType(
+    T.StructType().add("kind", T.StringType()).add("start", T.IntegerType()).add("end", T.IntegerType())
+)
+
+
+@F.arrow_udf(_SPANS)
 def found_spans(texts: pa.Array) -> pa.Array:
     worth = pc.fill_null(pc.match_substring_regex(texts, _ANY), False).to_numpy(zero_copy_only=False)
     rows = [

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwatch.llm.common import run_anywhere, with_row_key
 from panelwatch.llm.graph import components
@@ -58,7 +59,7 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def simhash(texts: pa.Array) -> pa.Array:
     """The fingerprints of a column of texts; the 64 bits as a signed number."""
     prints = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts))

@@ -130,7 +130,7 @@ def judge(
 ) -> DataFrame:
     """The pages with host, path, rule and verdict. `labelled` has url and block (0 or 1)."""
     added = ["host", "path", "rule", "verdict"]
-    made = [*FEATURES, *GROUPS, *[f"{g}_rate" for g in GROUPS], "_features", "_raw", "_p", "_block", "_n"]
+    made = [*FEATURES, *GROUPS, *[f"{g}_rate" for g in GROUPS], "_features", "_p", "_block", "_n", "rawPrediction", "probability"]
     pages = without(pages, [*added, *made])
     names = pages.columns
     url = F.col("url")
@@ -159,9 +159,8 @@ def judge(
     chosen = known.orderBy(F.xxhash64("url"), "url", "_block").limit(sample)
     fitted = materialise(_with_rates(chosen, rates, overall).select("_block", *FEATURES, *[f"{g}_rate" for g in GROUPS]), "sample")
     boosted = GBTClassifier(
-        labelCol="_block", featuresCol="_features", predictionCol="_p", rawPredictionCol="_raw", probabilityCol="",
-        maxIter=trees, maxDepth=depth, seed=3,
-    ).fit(assembler.transform(fitted))
+        labelCol="_block", featuresCol="_features", predictionCol="_p", maxIter=trees, maxDepth=depth, seed=3
+    ).fit(assembler.transform(fitted))
 
     ready = assembler.transform(_with_rates(with_features(parsed), rates, overall))
     by_trees = F.when(F.col("_p") > 0.5, "block").otherwise("allow")
