@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwatch.llm import chat, decontamination, language, maxscore, mixing, secrets, sharding, simhash, urls
+from panelwatch.llm import chat, decontamination, language, maxscore, mixing, secrets, sharding, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_format_chats": chat.op2_format_chats,
     "op3_url_filter": urls.op3_url_filter,
+    "op4_repeated_substrings": substrings.op4_repeated_substrings,
     "op5_decontaminate": decontamination.op5_decontaminate,
     "op6_language": language.op6_language,
     "op7_top_k": maxscore.op7_top_k,
