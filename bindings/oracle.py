@@ -77,7 +77,7 @@ stg_nhi AS (
 stg_covid AS (
   SELECT TRY_CAST(yr AS INTEGER) AS onset_year, TRY_CAST(mon AS INTEGER) AS onset_month,
          county AS county_name, town AS town_name,
-         CASE WHEN gender = 'M' OR gender = 'F' THEN gender ELSE 'U' END AS gender_code,
+         coalesce((SELECT g FROM (VALUES ('M'), ('F')) known(g) WHERE g = gender), 'U') AS gender_code,
          replace(age, '~', '-') AS age_label, imported = '1' AS is_imported,
          TRY_CAST(n AS INTEGER) AS case_count
   FROM src_covid),
@@ -85,7 +85,7 @@ stg_dengue AS (
   SELECT strptime(onset, '%Y/%m/%d')::DATE AS onset_date,
          strptime(nullif(determined, ''), '%Y/%m/%d')::DATE AS determined_date,
          strptime(nullif(reported, ''), '%Y/%m/%d')::DATE AS reported_date,
-         CASE WHEN gender = 'M' OR gender = 'F' THEN gender ELSE 'U' END AS gender_code,
+         coalesce((SELECT g FROM (VALUES ('M'), ('F')) known(g) WHERE g = gender), 'U') AS gender_code,
          replace(age, '~', '-') AS age_label,
          home_county AS res_county, home_town AS res_town, inf_county, inf_town,
          imported = '是' AS is_imported, nullif(country, '') AS infection_country,
@@ -110,12 +110,8 @@ labels AS (
   SELECT age_label FROM stg_nhi UNION SELECT age_label FROM stg_covid UNION SELECT age_label FROM stg_dengue),
 dim_age_group AS (
   SELECT (row_number() OVER (ORDER BY age_label))::INTEGER AS age_key, age_label,
-         CASE WHEN regexp_full_match(age_label, '[0-9]+') THEN age_label::SMALLINT
-              WHEN ends_with(age_label, '+') THEN rtrim(age_label, '+')::SMALLINT
-              WHEN contains(age_label, '-') THEN split_part(age_label, '-', 1)::SMALLINT END AS age_lower,
-         CASE WHEN regexp_full_match(age_label, '[0-9]+') THEN age_label::SMALLINT
-              WHEN ends_with(age_label, '+') THEN NULL
-              WHEN contains(age_label, '-') THEN split_part(age_label, '-', 2)::SMALLINT END AS age_upper
+         nullif(regexp_extract(age_label, '^([0-9]+)(-[0-9]+|\+)?$', 1), '')::SMALLINT AS age_lower,
+         nullif(regexp_extract(age_label, '^([0-9]+-)?([0-9]+)$', 2), '')::SMALLINT AS age_upper
   FROM labels),
 county_map AS (SELECT DISTINCT county_code, county AS county_name FROM src_flu),
 town_names AS (
@@ -350,6 +346,16 @@ FROM dense WINDOW line AS (PARTITION BY o_orderpriority, n_name ORDER BY week_st
         / nullif(sum(metric_value) OVER (PARTITION BY o_orderpriority, week_start_date), 0), 1) AS pct_of_total
 FROM dense""",
         ),
+        "orders_weekly_rank_wide": on(
+            (ORDERS_PANEL,),
+            """SELECT o_orderpriority, n_name, week_start_date, metric_value,
+  (rank() OVER (PARTITION BY o_orderpriority, week_start_date ORDER BY metric_value DESC))::INTEGER AS nation_rank,
+  round(100.0 * metric_value
+        / nullif(sum(metric_value) OVER (PARTITION BY o_orderpriority, week_start_date), 0), 1) AS pct_of_total
+FROM dense""",
+        ),
+        "lines_split_join": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name, s_name
+FROM lineitem JOIN part ON p_partkey = l_partkey LEFT JOIN supplier ON s_suppkey = l_suppkey""",
         "order_days": on(
             (DIMS.split("labels AS")[0].rstrip().rstrip(","),),
             "SELECT * FROM dim_date WHERE full_date IN (SELECT o_orderdate::DATE FROM orders)",
@@ -379,6 +385,16 @@ UNION ALL SELECT 'dengue_daily', '登革熱', count(*), 17 FROM src_dengue""",
         # Staging, dimensions, facts.
         "stg_nhi": on((SOURCES, STAGED), "SELECT * FROM stg_nhi"),
         "stg_covid": on((SOURCES, STAGED), "SELECT * FROM stg_covid"),
+        "ingested_documents": """SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+  coalesce(source, '') AS source, n_chars FROM documents""",
+        "raw_history": """SELECT c_custkey::VARCHAR AS c_custkey, c_name, '' AS c_mktsegment, 'v1' AS ingest_ts FROM customer
+UNION ALL SELECT c_custkey::VARCHAR, '', c_mktsegment, 'v2' FROM customer""",
+        "newest_without_snapshot": "SELECT c_custkey::VARCHAR AS c_custkey, c_mktsegment FROM customer",
+        "fallback_lineage": """SELECT n_nationkey::INTEGER AS n_nationkey, n_name, 'files' AS read_from,
+  true AS primary_failed FROM nation""",
+        "rebuilt_rows": """SELECT f AS fact, CASE WHEN n >= 0 THEN 0::BIGINT END AS different
+FROM (SELECT 'fact_nhi_visits' AS f, count(*) AS n FROM orders UNION ALL SELECT 'fact_covid_cases', count(*) FROM orders
+      UNION ALL SELECT 'fact_dengue_cases', count(*) FROM lineitem)""",
         "stg_dengue": on((SOURCES, STAGED), "SELECT * FROM stg_dengue"),
         "county_map": on(dims, "SELECT county_code, county_name FROM county_map"),
         "dim_age_group": on(dims, "SELECT * FROM dim_age_group"),
@@ -456,6 +472,14 @@ AND onset_year = 1998""",
             f,
             f"""SELECT onset_year, count(*) AS n_cases FROM {located}
 GROUP BY 1 ORDER BY n_cases DESC, onset_year LIMIT 1""",
+        ),
+        "point_sample": on(
+            f,
+            f"""SELECT lat, lon FROM (
+  SELECT centroid_y AS lat, centroid_x AS lon, onset_date_key,
+         row_number() OVER (PARTITION BY centroid_y, centroid_x, onset_date_key) AS occurrence
+  FROM {located} AND centroid_y IS NOT NULL AND onset_year = 1998)
+ORDER BY md5(concat_ws(':', '0', lat::VARCHAR, lon::VARCHAR, onset_date_key::VARCHAR, occurrence::VARCHAR)) LIMIT 100""",
         ),
         "point_density": on(
             f,
@@ -566,6 +590,12 @@ FROM (SELECT ma4, round(avg(metric_value) OVER (ORDER BY week_start_date ROWS 3
         "labels_by_sql": on(
             (SOURCES, STAGED), "SELECT age_label, gender_code, count(*) AS n_rows FROM stg_dengue GROUP BY ALL"
         ),
+        "onsets_by_sql": on(
+            dims,
+            """SELECT isoyear(onset_date)::INTEGER AS iso_year, week(onset_date)::INTEGER AS iso_week,
+  count(*) AS n_rows, count(county_code) AS n_mapped
+FROM stg_dengue LEFT JOIN county_map ON county_name = res_county GROUP BY 1, 2""",
+        ),
         "flu_values": on(
             (SOURCES,), f"SELECT column_name, value, count(*) AS n_rows FROM ({_profile('src_flu', FLU_PROFILE)}) GROUP BY ALL"
         ),

@@ -14,16 +14,16 @@ from bindings.feeds import table
 from panelwatch.functions import calendar
 from panelwatch.functions.measures import rate
 from panelwatch.functions.sql import register_functions
-from panelwatch.operators import profile
+from panelwatch.operators import checks, profile
 from panelwatch.operators.lookup import lookup
 from panelwatch.operators.panel import WEEK, densify, sparse_panel
 from panelwatch.operators.pick import grid_density, sample_rows
 from panelwatch.operators.trend import rank_and_share, trend
 from panelwatch.plans import analytics, api, dimensions, quality, staging
 from panelwatch.plans.schema import FACTS, columns
-from panelwatch.plans.warehouse import staged_tables
+from panelwatch.plans.warehouse import build, staged_tables
 from panelwatch.session import materialise, scratch_path
-from panelwatch.sources.ingest import DATASETS, Source, ingest
+from panelwatch.sources.ingest import DATASETS, Source, exit_code, ingest
 from panelwatch.sources.store import RawStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,23 @@ def orders_weekly_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("denominator")
 
 
+def orders_weekly_rank_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranking by counts per value, the form for very many entities."""
+    within = ["o_orderpriority", "week_start_date"]
+    panel = _orders_panel(spark, sf_dir, within)
+    ranked = rank_and_share(panel, within=within, metric="metric_value", rank="nation_rank", share="pct_of_total", wide=True)
+    return ranked.select(*within, "n_name", "metric_value", "nation_rank", "pct_of_total")
+
+
+def lines_split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item with its part and supplier, by joins that spread hot keys whatever the sizes."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    named = lookup(lines, parts, ["l_partkey"], small=False)
+    return lookup(named, suppliers, ["l_suppkey"], "left", small=False, keys_of=lines)
+
+
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar rows of the days that have orders."""
     days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("full_date"))
@@ -133,7 +150,7 @@ def order_points_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_points_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_rows(_order_points(spark, sf_dir), api.MAP_POINTS, ["o_orderkey"])
+    return sample_rows(_order_points(spark, sf_dir), 5000, ["o_orderkey"])
 
 
 # Ingestion: the derived sources written as CSV, then landed as a user's files are.
@@ -146,14 +163,7 @@ def _ingest(spark: SparkSession, sf_dir: str, *roles: str) -> tuple[RawStore, Da
     for role in roles:
         name, disease = DATASETS[role]
         path = f"{root}/files/{name}"
-        getattr(raw, role).write.csv(
-            path,
-            header=True,
-            emptyValue="",
-            escape='"',
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
+        _to_csv(getattr(raw, role), path)
         sources.append(Source(name, disease, path))
     store = RawStore(f"{root}/store")
     return store, ingest(spark, store, sources)
@@ -172,6 +182,69 @@ def _ingested(role: str) -> Query:
     return query
 
 
+def _to_csv(df: DataFrame, path: str) -> None:
+    plain = {"emptyValue": "", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.csv(path, header=True, **plain)
+
+
+def ingested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, written as CSV and landed: long texts with quotes and line breaks."""
+    root = scratch_path(spark, "documents")
+    _to_csv(table(spark, sf_dir, "documents"), f"{root}/files")
+    store = RawStore(f"{root}/store")
+    report = ingest(spark, store, [Source("documents", "none", f"{root}/files")])
+    if exit_code(report):
+        raise RuntimeError(report.first()["error"])
+    typed = {"doc_id": F.col("doc_id").cast("bigint"), "n_chars": F.col("n_chars").cast("bigint")}
+    return store.latest(spark, "documents").drop("_source_url", "_ingested_at").withColumns(typed)
+
+
+def _customer_store(spark: SparkSession, sf_dir: str) -> RawStore:
+    """Two versions of the customers, the second with one column more and one less; no snapshot."""
+    store = RawStore(scratch_path(spark, "versions"))
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    store.add(names.drop("c_mktsegment"), "customers", "v1")
+    store.add(names.drop("c_name"), "customers", "v2")
+    return store
+
+
+def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customer_store(spark, sf_dir).history(spark, "customers").select(
+        "c_custkey", "c_name", "c_mktsegment", "ingest_ts"
+    )
+
+
+def newest_without_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customer_store(spark, sf_dir).latest(spark, "customers").select("c_custkey", "c_mktsegment")
+
+
+def fallback_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations landed from a fallback; the lineage names the path that was read."""
+    root = scratch_path(spark, "fallback")
+    _to_csv(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), f"{root}/files")
+    store = RawStore(f"{root}/store")
+    report = ingest(spark, store, [Source("nations", "none", f"{root}/nowhere", f"{root}/files")])
+    return store.latest(spark, "nations").select(
+        F.col("n_nationkey").cast("int"),
+        "n_name",
+        F.substring_index("_source_url", "/", -1).alias("read_from"),
+        report.select(F.col("primary_error").isNotNull()).scalar().alias("primary_failed"),
+    )
+
+
+def rebuilt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each fact that a second build has in other numbers than the first; none, so all zero."""
+    first = bound.tables(spark, sf_dir)
+    again = build(bound.landed(spark, sf_dir), scratch_path(spark, "rebuild"), feeds.CALENDAR, check=False)
+    counts = []
+    for fact in FACTS:
+        kept = columns(fact)[1:]
+        both = first[fact].select(*kept, F.lit(1).alias("_n")).unionAll(again[fact].select(*kept, F.lit(-1).alias("_n")))
+        different = both.groupBy(*kept).agg(F.sum("_n").alias("_n")).where("_n != 0")
+        counts.append(different.agg(F.lit(fact).alias("fact"), F.count("*").alias("different")))
+    return checks.stack(counts)
+
+
 # Plans on the warehouse.
 
 
@@ -206,6 +279,20 @@ def line_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(text, args={"disease": "FLU", "county": COUNTY})
 
 
+def onsets_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged cases per ISO week, in SQL over the named staging and calendar views."""
+    raw = bound.landed(spark, sf_dir)
+    more = {**staged_tables(raw), "county_map": dimensions.county_map(dimensions.members(raw))}
+    analytics.register_views(bound.tables(spark, sf_dir), more)
+    return spark.sql(
+        """
+        SELECT w.iso_year, w.iso_week, count(*) AS n_rows, count(county_code) AS n_mapped
+        FROM stg_dengue JOIN dim_iso_week w ON w.week_start_date = CAST(date_trunc('week', onset_date) AS DATE)
+        LEFT JOIN county_map ON county_name = res_county
+        GROUP BY w.iso_year, w.iso_week"""
+    )
+
+
 def labels_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Age and gender labels of the case list, cleaned by the SQL functions."""
     register_functions(spark)
@@ -259,6 +346,8 @@ def county_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "orders_weekly_trend": orders_weekly_trend,
     "orders_weekly_rank": orders_weekly_rank,
+    "orders_weekly_rank_wide": orders_weekly_rank_wide,
+    "lines_split_join": lines_split_join,
     "order_days": order_days,
     "order_weeks": order_weeks,
     "order_points_grid": order_points_grid,
@@ -266,6 +355,11 @@ QUERIES: dict[str, Query] = {
     "ingested_flu": _ingested("flu"),
     "ingested_dengue": _ingested("dengue"),
     "ingest_report": ingest_report,
+    "ingested_documents": ingested_documents,
+    "raw_history": raw_history,
+    "newest_without_snapshot": newest_without_snapshot,
+    "fallback_lineage": fallback_lineage,
+    "rebuilt_rows": rebuilt_rows,
     "stg_nhi": _staged("stg_nhi"),
     "stg_covid": _staged("stg_covid"),
     "stg_dengue": _staged("stg_dengue"),
@@ -296,7 +390,7 @@ QUERIES: dict[str, Query] = {
     "point_years": _wh(api.dengue_years),
     "point_top_year": _wh(api.dengue_top_year),
     "point_density": _wh(api.map_density, None, 1),
-    "point_sample": _wh(api.map_points, 1998),
+    "point_sample": _wh(api.map_points, 1998, 100),
     "fact_total": _wh(api.fact_total),
     "onset_span": _wh(api.onset_span),
     "peak_year": _wh(api.peak_year, DISEASE, COUNTY),
@@ -320,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "sparse_and_dense_rows": _wh(quality.sparse_and_dense_rows),
     "recomputed_mean": _wh(quality.recomputed_mean, "FLU", COUNTY, 1999),
     "labels_by_sql": labels_by_sql,
+    "onsets_by_sql": onsets_by_sql,
     "flu_values": flu_values,
     "covid_values": covid_values,
     "dengue_extent": dengue_extent,

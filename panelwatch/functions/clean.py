@@ -39,7 +39,8 @@ def flag(text: Column, yes: str) -> Column:
 
 
 def lenient_int(text: Column) -> Column:
-    return text.try_cast("int")
+    """Whole numbers, also in decimal or exponent notation; fractions are rounded half away from zero."""
+    return F.round(F.trim(text).try_cast("decimal(38,18)")).try_cast("int")
 
 
 def lenient_double(text: Column) -> Column:

@@ -14,7 +14,9 @@ def round_half_away(x: Column, digits: int) -> Column:
     primitive arithmetic.
     """
     scale = float(10**digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
+    # From 2**52 on a double has no fraction left, and `floor` would not fit its integer type.
+    scaled = F.abs(x) * scale
+    return F.when(scaled < float(1 << 52), F.signum(x) * F.floor(scaled + 0.5) / scale).otherwise(x.cast("double"))
 
 
 def rate(part: Column, whole: Column) -> Column:

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
 
 def stack(parts: Sequence[DataFrame]) -> DataFrame:
     stacked = parts[0]
@@ -30,22 +32,45 @@ def not_null(table: str, columns: Sequence[str]) -> dict[str, str]:
     return {f"{table}.{c} not null": f"{c} IS NULL" for c in columns}
 
 
+def _for_each(names: Sequence[str], found: DataFrame, number: str) -> DataFrame:
+    """One row per constraint, with 0 violations for those of which nothing was counted."""
+    listed = found.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(n) for n in names])).alias(number, "constraint")
+    )
+    # As many rows as there are constraints on either side.
+    joined = listed.join(F.broadcast(found), number, "left")
+    return joined.select("constraint", F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"))
+
+
 def duplicate_keys(keys: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """Key values that occur more than once, for `(constraint, table, key columns)`.
 
-    All keys are counted in one shuffle. Parts of a key are joined by a character that
-    ends no name, with NULL kept apart from the empty text.
+    All keys are counted in one shuffle, under numbers instead of names: whole numbers in columns
+    of their own type and all else as text. NULL counts as a value.
     """
-    parts = [
-        df.select(
-            F.lit(name).alias("constraint"),
-            F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in columns])
-            .alias("_key"),
-        )
-        for name, df, columns in keys
-    ]
-    per_key = stack(parts).groupBy("constraint", "_key").agg(F.count("*").alias("_n"))
-    return per_key.groupBy("constraint").agg(F.count_if(F.col("_n") > 1).alias("violations"))
+
+    def split(df: DataFrame, columns: Sequence[str]) -> tuple[list[Column], list[Column]]:
+        kinds = dict(df.dtypes)
+        whole = [F.col(c).cast("bigint") for c in columns if kinds[c] in WHOLE]
+        return whole, [F.col(c).cast("string") for c in columns if kinds[c] not in WHOLE]
+
+    parts = [split(df, columns) for _, df, columns in keys]
+    wide = [max((len(p[k]) for p in parts), default=0) for k in (0, 1)]
+    names = [[f"_{kind}{i}" for i in range(n)] for kind, n in zip(("whole", "text"), wide)]
+
+    def filled(values: list[Column], names: list[str], kind: str) -> list[Column]:
+        missing = [F.lit(None).cast(kind)] * (len(names) - len(values))
+        return [v.alias(n) for v, n in zip([*values, *missing], names)]
+
+    stacked = stack(
+        [
+            df.select(F.lit(i).alias("_number"), *filled(whole, names[0], "bigint"), *filled(text, names[1], "string"))
+            for i, ((_, df, _), (whole, text)) in enumerate(zip(keys, parts))
+        ]
+    )
+    per_key = stacked.groupBy("_number", *names[0], *names[1]).agg(F.count("*").alias("_n"))
+    found = per_key.groupBy("_number").agg(F.count_if(F.col("_n") > 1).alias("violations"))
+    return _for_each([name for name, _, _ in keys], found, "_number")
 
 
 def missing_references(
@@ -77,11 +102,11 @@ def missing_references(
             for number, (dim, key) in enumerate(targets)
         ]
     )
-    names = F.array(*[F.lit(f"{t}.{column} references {dim}") for t, column, dim, _ in checked])
+    names = [f"{t}.{column} references {dim}" for t, column, dim, _ in checked]
     orphan = F.col("_key").isNotNull() & F.col("_found").isNull()
     per_reference = (
         used.join(known, ["_target", "_key"], "left")
         .groupBy("_reference")
         .agg(F.count_if(orphan).alias("violations"))
     )
-    return per_reference.select(F.get(names, F.col("_reference")).alias("constraint"), "violations")
+    return _for_each(names, per_reference, "_reference")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwatch.functions.measures import growth_percent, percent, round_half_away
-from panelwatch.operators.lookup import split_join
 
 
 def last_rows_mean(metric: str, line: Sequence[str], period: str, periods: int) -> Column:
@@ -57,10 +56,11 @@ def rank_and_share(
 ) -> DataFrame:
     """Rank entities by metric, with gaps after ties, and give each its percent of the total.
 
-    A group has one row per entity. With `wide`, for entity sets too large for one task
+    A group has one row per entity. With `wide`, a form for entity sets too large for one task
     per group, rows are first counted per distinct metric value: the running count over
     the values above gives the rank, their weighted sum the total. A value that many
-    entities share, such as zero, is a hot key on the way back.
+    entities share, such as zero, is a hot key on the way back, which adaptive execution
+    splits. Both forms are lazy, have the same result, and let filters on `within` through.
     """
     within = list(within)
     if not wide:
@@ -82,7 +82,7 @@ def rank_and_share(
         F.sum(F.col("_n") * F.col(metric)).over(group).alias("_total"),
     )
     return (
-        split_join(dense, placed, [*within, metric])
+        dense.join(placed, [*within, metric])
         .withColumn(share, percent(F.col(metric), F.col("_total")))
         .drop("_total")
     )

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions import calendar
 from panelwatch.functions.measures import rate
-from panelwatch.operators.lookup import fits_broadcast, lookup
+from panelwatch.operators.lookup import lookup
 from panelwatch.operators.panel import MONTH, WEEK, densify, sparse_panel
 from panelwatch.operators.trend import rank_and_share, trend
+from panelwatch.plans.dimensions import iso_weeks
 from panelwatch.plans.schema import UNKNOWN_COUNTY
 
 Tables = Mapping[str, DataFrame]
@@ -113,13 +114,8 @@ def weekly_trend(tables: Tables) -> DataFrame:
     )
 
 
-def _too_many_for_one_task(tables: Tables) -> bool:
-    """Whether a period's rows, one per county, may be beyond one task."""
-    return not fits_broadcast(tables["dim_geography"])
-
-
 def weekly_rank(tables: Tables) -> DataFrame:
-    """Rank and share of each county per disease and week."""
+    """Rank and share of each county per disease and week. A group is the counties of one week."""
     within = [*WEEKLY_SERIES, "week_start_date"]
     ranked = rank_and_share(
         weekly_dense(tables, cluster_by=within),
@@ -127,7 +123,6 @@ def weekly_rank(tables: Tables) -> DataFrame:
         metric="metric_value",
         rank="county_rank",
         share="pct_of_national",
-        wide=_too_many_for_one_task(tables),
     )
     return ranked.select(*WEEKLY_KEYS, "metric_value", "county_rank", "pct_of_national")
 
@@ -192,7 +187,6 @@ def monthly_rank(tables: Tables) -> DataFrame:
         metric="cases",
         rank="county_rank",
         share="pct_of_national",
-        wide=_too_many_for_one_task(tables),
     )
 
 
@@ -206,9 +200,11 @@ VIEWS = {
 }
 
 
-def register_views(tables: Tables) -> None:
-    """Name the tables and views for SQL. They stay lazy; defining them again replaces them."""
-    for name, table in tables.items():
+def register_views(tables: Tables, more: Tables | None = None) -> None:
+    """Name the tables and views for SQL, and the ISO weeks of the calendar. `more` are further
+    tables, such as staged ones. They stay lazy; defining them again replaces them."""
+    weeks = {"dim_iso_week": iso_weeks(tables["dim_date"].select("full_date"))}
+    for name, table in {**tables, **weeks, **(more or {})}.items():
         table.createOrReplaceTempView(name)
     for name, view in VIEWS.items():
         view(tables).createOrReplaceTempView(f"v_{name}")

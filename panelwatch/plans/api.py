@@ -16,7 +16,6 @@ from panelwatch.plans.schema import FACTS
 
 Tables = Mapping[str, DataFrame]
 
-MAP_POINTS = 5000
 BARS = 15
 
 
@@ -109,13 +108,23 @@ def dengue_top_year(tables: Tables) -> DataFrame:
     return top_groups(_with_longitude(tables), ["onset_year"], F.count("*"), "n_cases")
 
 
-def map_points(tables: Tables, year: int, cap: int = MAP_POINTS, seed: int = 0) -> DataFrame:
-    """The points of a year, sampled if there are more than a map can draw."""
+def map_points(tables: Tables, year: int, cap: int, seed: int = 0) -> DataFrame:
+    """`cap` points of a year, or all if a map can draw them (`map_density` shows all in any case).
+
+    A point is told by its place and day, and by a number among equal ones, which are counted and
+    not gathered. So a rebuilt warehouse gives the same sample.
+    """
     located = tables["fact_dengue_cases"].where(
         (F.col("onset_year") == year) & F.col("centroid_x").isNotNull() & F.col("centroid_y").isNotNull()
     )
-    sampled = sample_rows(located, cap, ["dengue_case_id"], seed)
-    return sampled.select(F.col("centroid_y").alias("lat"), F.col("centroid_x").alias("lon"))
+    point = ["lat", "lon", "onset_date_key"]
+    counted = (
+        located.select(F.col("centroid_y").alias("lat"), F.col("centroid_x").alias("lon"), "onset_date_key")
+        .groupBy(*point)
+        .agg(F.count("*").alias("n"))
+    )
+    points = counted.select(*point, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("occurrence"))
+    return sample_rows(points, cap, [*point, "occurrence"], seed).select("lat", "lon")
 
 
 def map_density(tables: Tables, year: int | None = None, digits: int = 2) -> DataFrame:
@@ -144,16 +153,29 @@ def peak_year(tables: Tables, disease: str, county: str) -> DataFrame:
 
 def peak_month(tables: Tables) -> DataFrame:
     """The month with the most cases over all counties."""
-    return top_groups(
-        analytics.monthly_dense(tables), ["onset_year", "onset_month"], F.sum("cases"), "total_cases"
-    )
+    # Months without cases add nothing to a sum, so the sparse ones will do; known counties may have none at all.
+    sparse, span = tables["agg_monthly"], F.sequence(F.min("month_start"), F.max("month_start"), F.expr("interval 1 month"))
+    months = sparse.agg(span.alias("months")).select(F.explode("months").alias("month_start"))
+    sums = _sums_with_empty(_of_known(tables, sparse), months, "month_start", "cases")
+    day = F.col("month_start")
+    parted = sums.select(F.year(day).alias("onset_year"), F.month(day).alias("onset_month"), "cases")
+    return top_groups(parted, ["onset_year", "onset_month"], F.sum("cases"), "total_cases")
+
+
+def _of_known(tables: Tables, sparse: DataFrame) -> DataFrame:
+    return sparse.join(known_counties(tables["dim_geography"]), "county_name", "left_semi")
+
+
+def _sums_with_empty(sparse: DataFrame, periods: DataFrame, period: str, metric: str) -> DataFrame:
+    """Observations, and a zero for every period of the span."""
+    return sparse.select(period, metric).unionByName(periods.select(period, F.lit(0).cast("bigint").alias(metric)))
 
 
 def peak_week(tables: Tables, disease: str, year: int) -> DataFrame:
     """The week of a calendar year with the greatest sum over counties; the first of equals."""
-    weeks = analytics.weekly_dense(tables).where(
-        (F.col("disease_code") == disease) & (F.year("week_start_date") == year)
-    )
+    week, metric = "week_start_date", "metric_value"
+    observed = _of_known(tables, tables["agg_weekly"].where(F.col("disease_code") == disease))
+    weeks = _sums_with_empty(observed, weekly_weeks(tables, disease), week, metric).where(F.year(week) == year)
     return top_groups(weeks, ["week_start_date"], F.sum("metric_value"), "total_value")
 
 

@@ -13,10 +13,33 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions import calendar
 from panelwatch.functions.clean import blank_to_null, is_blank, strict_cast
-from panelwatch.operators.lookup import lookup
+from panelwatch.operators.lookup import fits_broadcast, lookup
 from panelwatch.plans.schema import UNKNOWN_COUNTY, columns
 
-Dimensions = Mapping[str, DataFrame]
+ROW_ID = "_row_id"
+
+
+class Dimensions(dict[str, DataFrame]):
+    """Written dimension tables, whose rows are counted once and not at every lookup."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        super().__init__(tables)
+        self._small: dict[str, bool] = {}
+
+    def small(self, name: str) -> bool:
+        if name not in self._small:
+            self._small[name] = fits_broadcast(self[name])
+        return self._small[name]
+
+
+def _counted(dims: Mapping[str, DataFrame]) -> Dimensions:
+    return dims if isinstance(dims, Dimensions) else Dimensions(dims)
+
+
+def _numbered(staged: DataFrame) -> DataFrame:
+    """Rows with an id that is made at the scan, below all joins: a task that runs again reads its
+    rows in the same order, so it makes the same ids."""
+    return staged.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
 def _attach(
@@ -30,7 +53,8 @@ def _attach(
     *natural, _ = names.values()
     seeded = dim in ("dim_disease", "dim_gender")
     table = dims[dim].select(*[F.col(column).alias(name) for column, name in names.items()])
-    return lookup(rows, table, natural, how, small=True if seeded else None, keys_of=staged)
+    small = True if seeded else dims.small(dim)
+    return lookup(rows, table, natural, how, small=small, keys_of=staged, salt_by=[ROW_ID])
 
 
 def _with_codes(staged: DataFrame, dims: Dimensions, disease: str | None = None) -> DataFrame:
@@ -56,16 +80,17 @@ def _with_place(
     return _attach(rows, staged, dims, "dim_geography", names, how)
 
 
-def load_nhi(staged: DataFrame, dims: Dimensions) -> DataFrame:
+def load_nhi(staged: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Weekly visits at the Monday of their ISO week. Year and week stay as the source
     gives them, also where a week 53 belongs to the next year."""
-    county_level = staged.withColumn("town_name", F.lit(""))
+    dims = _counted(dims)
+    county_level = _numbered(staged).withColumn("town_name", F.lit(""))
     coded = _with_codes(county_level, dims)
     keyed = _with_place(coded, county_level, dims, "county_name", "town_name", "geo_key")
     year = strict_cast(F.col("iso_year"), "int")
     week = strict_cast(F.col("iso_week"), "int")
     return keyed.select(
-        F.monotonically_increasing_id().alias("visit_id"),
+        F.col(ROW_ID).alias("visit_id"),
         calendar.date_key(calendar.iso_week_monday(year, week)).alias("date_key"),
         "geo_key",
         "disease_key",
@@ -79,12 +104,13 @@ def load_nhi(staged: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def load_covid(staged: DataFrame, dims: Dimensions) -> DataFrame:
+def load_covid(staged: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Monthly counts at the first day of their month."""
-    coded = _with_codes(staged, dims, "19CoV")
-    keyed = _with_place(coded, staged, dims, "county_name", "town_name", "geo_key")
+    dims, numbered = _counted(dims), _numbered(staged)
+    coded = _with_codes(numbered, dims, "19CoV")
+    keyed = _with_place(coded, numbered, dims, "county_name", "town_name", "geo_key")
     return keyed.select(
-        F.monotonically_increasing_id().alias("covid_id"),
+        F.col(ROW_ID).alias("covid_id"),
         calendar.month_key(F.col("onset_year"), F.col("onset_month")).alias("date_key"),
         "geo_key",
         "disease_key",
@@ -98,14 +124,15 @@ def load_covid(staged: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def load_dengue(staged: DataFrame, dims: Dimensions) -> DataFrame:
+def load_dengue(staged: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Cases at their onset day, with the geography in two roles.
 
     A case without a county of residence belongs to the unknown county. The place of
     infection may be missing or not in the geography; its key is then NULL.
     """
+    dims = _counted(dims)
     homeless = is_blank(F.col("res_county"))
-    prepared = staged.withColumns(
+    prepared = _numbered(staged).withColumns(
         {
             "res_town": F.when(homeless, F.lit("")).otherwise(F.col("res_town")),
             "res_county": F.when(homeless, F.lit(UNKNOWN_COUNTY[1])).otherwise(F.col("res_county")),
@@ -116,7 +143,7 @@ def load_dengue(staged: DataFrame, dims: Dimensions) -> DataFrame:
     keyed = _with_place(coded, prepared, dims, "res_county", "res_town", "residence_geo_key")
     keyed = _with_place(keyed, prepared, dims, "inf_county", "inf_town", "infection_geo_key", "left")
     return keyed.select(
-        F.monotonically_increasing_id().alias("dengue_case_id"),
+        F.col(ROW_ID).alias("dengue_case_id"),
         calendar.date_key(F.col("onset_date")).alias("onset_date_key"),
         calendar.date_key(F.col("determined_date")).alias("determined_date_key"),
         calendar.date_key(F.col("reported_date")).alias("reported_date_key"),

@@ -78,6 +78,7 @@ def staged_tables(raw: RawTables) -> dict[str, DataFrame]:
 def load_facts(
     staged: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], root: str
 ) -> dict[str, DataFrame]:
+    dims = facts.Dimensions(dims)
     loaded = {
         "fact_nhi_visits": facts.load_nhi(staged["stg_nhi"], dims),
         "fact_covid_cases": facts.load_covid(staged["stg_covid"], dims),

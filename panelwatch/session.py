@@ -10,9 +10,12 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelwatch.sources.files import delete_at_end
+
 T = TypeVar("T")
 
 _LOCAL_DIRS: dict[str, str] = {}
+_MARKED: set[str] = set()
 
 
 def local_session(cpus: int = 8, app: str = "panelwatch", **conf: str) -> SparkSession:
@@ -56,8 +59,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/panelwatch/{uuid.uuid4().hex}/{label}"
+    """A fresh path below the shared folder, in a folder of the session that is deleted as its process ends."""
+    root = f"{shared_dir(spark)}/panelwatch/{spark.sparkContext.applicationId}"
+    if root not in _MARKED:
+        delete_at_end(spark, root)
+        _MARKED.add(root)
+    return f"{root}/{uuid.uuid4().hex}/{label}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -14,7 +14,8 @@ from panelwatch.sources.store import RawStore
 from panelwatch.sources.text_csv import read_text_csv
 
 REPORT = (
-    "name string, disease string, rows bigint, cols int, source_url string, path string, error string"
+    "name string, disease string, rows bigint, cols int, source_url string, path string, error string,"
+    " primary_error string"
 )
 # Dataset names, subjects and the views the warehouse reads.
 DATASETS = {
@@ -40,26 +41,35 @@ def with_lineage(df: DataFrame, path: str, at: datetime) -> DataFrame:
 
 
 def _land_path(
-    spark: SparkSession, store: RawStore, source: Source, path: str, at: datetime, copy: bool
+    spark: SparkSession,
+    store: RawStore,
+    source: Source,
+    path: str,
+    at: datetime,
+    copy: bool,
+    primary_error: str | None = None,
 ) -> tuple:
     version = pointer.new_version(at)
     landed = with_lineage(read_text_csv(spark, path), path, at)
     target = store.add(landed, source.name, version)
     store.snapshot(spark, source.name, version, copy=copy)
     rows = spark.read.parquet(target).count()
-    return (source.name, source.disease, rows, len(landed.columns), path, target, None)
+    return (source.name, source.disease, rows, len(landed.columns), path, target, None, primary_error)
 
 
 def land(
     spark: SparkSession, store: RawStore, source: Source, at: datetime, *, copy: bool = False
 ) -> tuple:
-    """Land a source; its lineage names the path that was read."""
+    """Land a source; its lineage names the path that was read. If that is the fallback, the
+    report keeps the error of the primary path."""
     try:
         return _land_path(spark, store, source, source.path, at, copy)
-    except Exception:
+    except FileExistsError:
+        raise
+    except Exception as failure:
         if source.fallback is None:
             raise
-    return _land_path(spark, store, source, source.fallback, at, copy)
+        return _land_path(spark, store, source, source.fallback, at, copy, str(failure))
 
 
 def ingest(
@@ -81,7 +91,7 @@ def ingest(
         try:
             report.append(land(spark, store, source, at, copy=copy))
         except Exception as failure:
-            report.append((source.name, source.disease, None, None, None, None, str(failure)))
+            report.append((source.name, source.disease, None, None, None, None, str(failure), None))
     return spark.createDataFrame(report, REPORT)
 
 

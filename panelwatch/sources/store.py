@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.sources import pointer
+from panelwatch.sources.files import child_folders, exists
 
 VERSION = "ingest_ts"
 
@@ -30,8 +30,10 @@ class RawStore:
         return f"{self.root}/snapshot/log"
 
     def add(self, df: DataFrame, dataset: str, version: str) -> str:
-        """Write one version."""
+        """Write one version. One that is complete is never written again; what a failed write left is."""
         path = self.version_path(dataset, version)
+        if self._complete(df.sparkSession, path):
+            raise FileExistsError(f"{dataset} has a version {version} already")
         df.write.mode("overwrite").option("compression", "snappy").parquet(path)
         return path
 
@@ -49,23 +51,23 @@ class RawStore:
         pointer.publish(spark, self.snapshot_log, dataset, version, path)
         return path
 
+    @staticmethod
+    def _complete(spark: SparkSession, path: str) -> bool:
+        return exists(spark, f"{path}/_SUCCESS")
+
     def history(self, spark: SparkSession, dataset: str) -> DataFrame:
-        """All versions, told apart by `ingest_ts`."""
-        versions = spark.read.option("basePath", self.history_path(dataset))
-        return versions.parquet(self.history_path(dataset)).withColumn(
-            VERSION, F.col(VERSION).cast("string")
-        )
+        """All versions, told apart by `ingest_ts`. Text columns that a version lacks are ''."""
+        versions = spark.read.options(basePath=self.history_path(dataset), mergeSchema=True)
+        merged = versions.parquet(self.history_path(dataset))
+        empty = {c: F.coalesce(f"`{c}`", F.lit("")) for c, kind in merged.dtypes if kind == "string" and c != VERSION}
+        return merged.withColumns({**empty, VERSION: F.col(VERSION).cast("string")})
 
     def newest_version(self, spark: SparkSession, dataset: str) -> str | None:
-        """From the file listing alone; no data is read."""
-        try:
-            files = spark.read.parquet(self.history_path(dataset)).inputFiles()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        """The newest complete version, from the names of the version folders alone."""
         marker = f"{VERSION}="
-        return max((f.split(marker)[1].split("/")[0] for f in files if marker in f), default=None)
+        folders = child_folders(spark, self.history_path(dataset))
+        versions = sorted((f.removeprefix(marker) for f in folders if f.startswith(marker)), reverse=True)
+        return next((v for v in versions if self._complete(spark, self.version_path(dataset, v))), None)
 
     def latest(self, spark: SparkSession, dataset: str) -> DataFrame:
         """The snapshot, else the newest version, else an error. Never several versions."""

@@ -1,101 +1,178 @@
-"""CSV files as tables of strings."""
+"""CSV files as tables of strings, by the grammar of CSV and without loss.
+
+A quote opens a quoted field only at the field's start; elsewhere it is a character. Within a quoted field
+two quotes stand for one, and line breaks and separators are text. Whatever follows the closing quote up
+to the separator belongs to the field.
+"""
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelwatch.operators.lookup import lookup
+from panelwatch.session import materialise
+
 _BROKEN = "_corrupt_record"
 _FORMAT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-_FILE = {"header": True, "encoding": "UTF-8", "inferSchema": False, **_FORMAT}
-
-
-def _quotes(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+_BOM = "﻿"
 
-
-def quotes_span_lines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted field holds a line break. Such a field leaves a line with an odd
-    number of quotes; the search is distributed and stops at the first one."""
-    return not spark.read.text(path).where(_quotes(F.col("value")) % 2 == 1).isEmpty()
+# The grammar. All repeats are possessive: a field can be read in one way only.
+_INNER = r'[^"]*+(?:""[^"]*+)*+'
+_FIELD = rf'(?:"{_INNER}"[^,]*+|[^",][^,]*+)'
+_OPENS = rf'(?:{_FIELD}?,)*+"{_INNER}\z'
+# Whether a line ends inside a quoted field, if it begins outside one, or inside.
+_FROM_OUTSIDE = rf"\A{_OPENS}"
+_FROM_INSIDE = rf'\A{_INNER}(?:\z|"[^,]*+,{_OPENS})'
 
 
 def field_count(record: Column) -> Column:
-    """Fields of a CSV record: separators outside quotes, plus one."""
-    bare = F.regexp_replace(record, r'"([^"]|"")*"', "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    """Fields of a CSV record: the separators between fields, plus one."""
+    return F.length(F.regexp_replace(record, _FIELD, "")) + 1
 
 
 def _name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def _header_names(record: str) -> list[str]:
+    """The names in a header; a missing one is called by its place, a repeated one by its number."""
+    seen: Counter[str] = Counter()
+    names = []
+    for place, name in enumerate(next(csv.reader([record], strict=False))):
+        name = name or f"_c{place}"
+        names.append(f"{name}.{seen[name]}" if seen[name] else name)
+        seen[name] += 1
+    return names
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """Every column a string, under the header's names, with '' for empty.
 
-    A byte order mark is dropped and undecodable bytes are replaced. Rows shorter than
-    the header are filled with ''; a longer row fails the job. Files are split among
-    tasks, also where quoted fields hold line breaks.
+    A byte order mark is dropped and undecodable bytes are replaced. Rows shorter than the header are
+    filled with ''. The job fails on a longer row, and on a quoted field that a file does not end. Every
+    file has a header of its own; files with the same names in another order are aligned by name, and
+    other names are an error. Files are split among tasks, also where quoted fields hold line breaks.
     """
-    spanning = quotes_span_lines(spark, path)
-    header = spark.read.options(**_FILE, multiLine=spanning).csv(path).columns
-    schema = ", ".join(f"{_name(c)} string" for c in [*header, _BROKEN])
-    if spanning:
-        parsed = F.from_csv(F.col("record"), schema, _FORMAT)
-        rows = multiline_records(spark, path).select(parsed.alias("row")).select("row.*")
+    records = materialise(csv_records(spark, path), "csv_records")
+    headers = records.where("is_header").select("file", F.col("record").alias("header"))
+    distinct = [r[0] for r in headers.select("header").distinct().limit(1000).collect()]
+    if not distinct:
+        raise ValueError(f"no header in {path}")
+    orders = {record: _header_names(record) for record in sorted(distinct)}
+    names = next(iter(orders.values()))
+    for other in orders.values():
+        if sorted(other) != sorted(names):
+            raise ValueError(f"headers differ below {path}: {names} and {other}")
+
+    rows = records.where("NOT is_header").select("file", "record")
+    n = len(names)
+    schema = ", ".join([*[f"c{i} string" for i in range(n)], f"{_BROKEN} string"])
+    parsed = rows.withColumn("row", F.from_csv(F.col("record"), schema, _FORMAT))
+    too_long = F.col(f"row.{_BROKEN}").isNotNull() & (field_count(F.col("record")) > n)
+    failure = F.raise_error(F.concat(F.lit(f"more than {n} fields: "), F.col("record"))).cast("boolean")
+    # A filter, so it holds whichever columns are read.
+    checked = parsed.where(F.coalesce(F.when(too_long, failure), F.lit(True)))
+    if len(set(map(tuple, orders.values()))) == 1:
+        places = {name: F.lit(i) for i, name in enumerate(names)}
     else:
-        rows = spark.read.options(**_FILE).schema(schema).csv(path)
-    broken = F.col(_BROKEN)
-    too_long = broken.isNotNull() & (field_count(broken) > len(header))
-    failure = F.raise_error(F.concat(F.lit(f"more than {len(header)} fields: "), broken))
-    first, *others = [F.coalesce(F.col(_name(c)), F.lit("")) for c in header]
-    # The check sits in the first column, so it holds whenever that one is read.
-    checked = [F.when(too_long, failure).otherwise(first), *others]
-    return rows.select(*[column.alias(name) for column, name in zip(checked, header)])
-
-
-def multiline_records(spark: SparkSession, path: str) -> DataFrame:
-    """`record`: the records after the header, where quoted fields may hold line breaks.
-
-    A line starts a record if the number of quotes before it in the file is even. The
-    lines of each split are counted on their own; the splits of a file then pass the
-    parity on, and the split in which an unfinished record began. A group is a split or
-    a record, never a file.
+        kinds = list(orders)
+        kind = F.coalesce(*[F.when(F.col("header") == h, F.lit(k)) for k, h in enumerate(kinds)])
+        checked = lookup(checked, headers.select("file", kind.alias("kind")), ["file"])
+        places = {
+            name: F.get(F.array(*[F.lit(orders[h].index(name)) for h in kinds]), F.col("kind")) for name in names
+        }
+    fields = F.array(*[F.coalesce(F.col(f"row.c{i}"), F.lit("")) for i in range(n)])
+    values = checked.withColumn("fields", fields)
+    return values.select(*[F.get("fields", place).alias(name) for name, place in places.items()])
+
+
+def _after(start: Column, frame) -> Column:
+    """The state (0 outside, 1 inside a quoted field) that rows of line maps lead to from `start`.
+
+    A map, given by where it leads from outside and from inside, is constant, a flip or the identity. So
+    only the last constant of the frame counts, and the parity of the flips behind it.
+    """
+    last = F.last(F.when(F.col("outside") == F.col("inside"), F.struct("outside", "flips")), True).over(frame)
+    flips = F.coalesce(F.last("flips").over(frame), F.lit(0))
+    return (F.when(last.isNull(), start + flips).otherwise(last["outside"] + flips - last["flips"])) % 2
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """`file, record, is_header`: the records of all files, blank lines left out.
+
+    The lines of each split are followed from both possible states; the splits of a file then pass the
+    state on, and the record that is unfinished. Only lines of records with line breaks are put together,
+    and a group is one such record.
     """
     meta = F.col("_metadata")
     lines = spark.read.text(path, lineSep="\n").select(
         F.col("value").alias("line"),
         meta["file_path"].alias("file"),
         meta["file_block_start"].alias("split"),
+        # The place in the split, read straight from the file: the same if a task runs again.
         F.monotonically_increasing_id().alias("place"),
-        (_quotes(F.col("value")) % 2).alias("odd"),
     )
     in_split = Window.partitionBy("file", "split").orderBy("place")
-    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    counted = lines.withColumn("before", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
-
-    splits = counted.groupBy("file", "split").agg(
-        F.sum("odd").alias("odd"),
-        F.count_if(F.col("before") == 0).alias("even_lines"),
-        F.count_if(F.col("before") == 1).alias("odd_lines"),
+    to_here, before = (
+        in_split.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1)
+    )
+    marked = (F.col("split") == 0) & (F.row_number().over(in_split) == 1) & F.startswith("line", F.lit(_BOM))
+    lines = lines.withColumn("line", F.when(marked, F.substr("line", F.lit(2))).otherwise(F.col("line")))
+    mapped = lines.withColumns(
+        {"outside": F.col("line").rlike(_FROM_OUTSIDE).cast("int"), "inside": F.col("line").rlike(_FROM_INSIDE).cast("int")}
     )
-    in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    opened = splits.select(
-        "file", "split", "even_lines", "odd_lines",
-        (F.coalesce(F.sum("odd").over(in_file), F.lit(0)) % 2).alias("open"),
-    ).withColumn("records", F.when(F.col("open") == 0, F.col("even_lines")).otherwise(F.col("odd_lines")))
+    flip = (F.col("outside") > F.col("inside")).cast("int")
+    followed = mapped.withColumn("flips", F.sum(flip).over(to_here))
+    blank = F.rtrim(F.col("line"), F.lit("\r")) == ""
+    states = {f"{at}{s}": _after(F.lit(s), frame) for s in (0, 1) for at, frame in (("before", before), ("after", to_here))}
+    followed = followed.withColumns(states)
+    starts = {s: (F.col(f"before{s}") == 0) & ~blank for s in (0, 1)}
+
+    splits = followed.groupBy("file", "split").agg(
+        F.max_by("after0", "place").alias("outside"),
+        F.max_by("after1", "place").alias("inside"),
+        *[F.count_if(starts[s]).alias(f"records{s}") for s in (0, 1)],
+    )
+    by_file = Window.partitionBy("file")
+    in_file = by_file.orderBy("split")
+    to_split, earlier = (in_file.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1))
+    flips = F.sum((F.col("outside") > F.col("inside")).cast("int")).over(to_split)
+    opened = splits.withColumn("flips", flips).withColumns(
+        {"open": _after(F.lit(0), earlier), "end": _after(F.lit(0), to_split)}
+    )
+    opened = opened.withColumn("records", F.when(F.col("open") == 0, F.col("records0")).otherwise(F.col("records1")))
     last_start = F.when(F.col("records") > 0, F.struct(F.col("split"), F.col("records").alias("number")))
-    carried = opened.select("file", "split", "open", F.last(last_start, True).over(in_file).alias("carried"))
+    carried = opened.select(
+        "file",
+        "split",
+        "open",
+        F.last(last_start, True).over(earlier).alias("carried"),
+        F.min(F.when(F.col("records") > 0, F.col("split"))).over(by_file).alias("header_split"),
+        F.max_by("end", "split").over(by_file).alias("unended"),
+    )
 
-    starts = (F.col("before") + F.col("open")) % 2 == 0
-    number = F.sum(F.when(starts, 1).otherwise(0)).over(in_split)
-    numbered = counted.join(carried, ["file", "split"]).withColumn("number", number)
-    own = F.struct("split", "number")
-    placed = numbered.withColumn("record_id", F.when(F.col("number") > 0, own).otherwise(F.col("carried")))
+    joined = followed.join(carried, ["file", "split"])
+    inside = F.when(F.col("open") == 0, F.col("before0")).otherwise(F.col("before1"))
+    ends = F.when(F.col("open") == 0, F.col("after0")).otherwise(F.col("after1"))
+    joined = joined.withColumns({"begins": inside == 0, "ends": ends == 0}).where(~(F.col("begins") & blank))
+    number = F.sum(F.col("begins").cast("int")).over(to_here)
+    placed = joined.withColumn("number", number).withColumn(
+        "record_id",
+        F.when(F.col("number") > 0, F.struct("split", "number")).otherwise(F.col("carried")),
+    )
+    is_header = (F.col("record_id.split") == F.col("header_split")) & (F.col("record_id.number") == 1)
+    whole = placed.where("begins AND ends").select("file", F.col("line").alias("record"), is_header.alias("is_header"))
     pieces = F.array_sort(F.collect_list(F.struct("split", "place", "line")))
-    records = placed.groupBy("file", "record_id").agg(pieces.alias("pieces"))
-    joined = records.select(
-        "record_id", F.rtrim(F.array_join(F.col("pieces.line"), "\n"), F.lit("\r")).alias("record")
+    # A field that doesn't end leaves lines that don't, so the check sits here, before any are gathered.
+    failure = F.raise_error(F.concat(F.lit("a quoted field does not end in "), F.col("file"))).cast("boolean")
+    broken = (
+        placed.where(~(F.col("begins") & F.col("ends")) & F.when(F.col("unended") == 1, failure).otherwise(F.lit(True)))
+        .groupBy("file", "record_id", "header_split")
+        .agg(pieces.alias("pieces"))
+        .select("file", F.array_join(F.col("pieces.line"), "\n").alias("record"), is_header.alias("is_header"))
     )
-    is_header = (F.col("record_id.split") == 0) & (F.col("record_id.number") == 1)
-    return joined.where(~is_header & (F.col("record") != "")).select("record")
+    return whole.unionAll(broken).withColumn("record", F.rtrim("record", F.lit("\r")))

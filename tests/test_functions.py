@@ -42,6 +42,8 @@ def test_digits_only_rejects_trailing_newline(spark):
 
 def test_lenient_numbers(spark):
     assert values(spark, "string", ["12", " 12 ", "abc", "", None], clean.lenient_int) == [12, 12, None, None, None]
+    texts = ["1.5", "-1.5", "2.4", "1e3", "99999999999", "1,5", "-7"]
+    assert values(spark, "string", texts, clean.lenient_int) == [2, -2, 2, 1000, None, None, -7]
     assert values(spark, "string", ["120.21", "", "x"], clean.lenient_double) == [120.21, None, None]
 
 
@@ -118,6 +120,7 @@ def test_rounding_is_on_the_binary_value(spark):
     rounded = [round_in_c(x, 5) for x in ratios]
     assert values(spark, "double", ratios, lambda x: measures.round_half_away(x, 5)) == rounded
     assert values(spark, "double", [0.25, -0.25, 2.35], lambda x: measures.round_half_away(x, 1)) == [0.3, -0.3, 2.4]
+    assert values(spark, "double", [1e300, -1e17, None], lambda x: measures.round_half_away(x, 5)) == [1e300, -1e17, None]
 
 
 def round_in_c(x, digits):

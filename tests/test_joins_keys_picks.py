@@ -45,6 +45,25 @@ def test_split_join_spreads_the_hot_key(spark, skewed, dim):
     assert worst > 2000 and max(sizes) < worst / 2
 
 
+def test_chained_lookups_draw_no_salt_from_a_generated_id(skewed, dim):
+    """A salt from a row's place above a shuffle would change when a task runs again."""
+    second = dim.withColumnsRenamed({"key": "other", "name": "other_name"})
+    facts = skewed.withColumn("other", F.col("key"))
+    once = lookup.split_join(facts, dim, ["key"], "left", pieces=20)
+    twice = lookup.split_join(once, second, ["other"], "left", keys_of=facts, pieces=20)
+    assert "monotonically_increasing_id" not in twice._jdf.queryExecution().optimizedPlan().toString()
+    moved = lookup.split_join(facts.repartition(7, "id"), dim, ["key"], "left", pieces=20)
+    assert moved.exceptAll(once).isEmpty() and once.exceptAll(moved).isEmpty()
+
+
+def test_salts_of_any_column_type(spark, dim):
+    facts = spark.range(100).select(
+        F.lit(7).alias("key"), F.create_map(F.lit("a"), "id").alias("m"), F.array("id").alias("odd`name")
+    )
+    assert lookup.split_join(facts, dim, ["key"], pieces=5).count() == 100
+    assert lookup.split_join(facts, dim, ["key"], salt_by=["odd`name"], pieces=5).count() == 100
+
+
 def test_lookup_checks_the_size(skewed, dim, monkeypatch):
     assert lookup.fits_broadcast(dim, 40) and not lookup.fits_broadcast(dim, 39)
     monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)

@@ -125,6 +125,20 @@ def test_wide_rank_equals_window_rank(spark):
     assert two.count() == 2000
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_filters_pass_through_both_rank_forms(spark, tmp_path, wide):
+    cells = [("s", p, n, n, None) for p in "abc" for n in range(4)] + [("t", "a", 0, 1, None)]
+    dense_of(spark, cells, "abc", ["series", "week"]).write.parquet(str(tmp_path / "dense"))
+    dense = spark.read.parquet(str(tmp_path / "dense"))
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    ranked = rank_and_share(dense, within=["series", "week"], metric="metric", rank="rank", share="share", wide=wide)
+    one = ranked.where((F.col("series") == "s") & (F.col("week") == week(2)))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(series,s)") == plan.count("EqualTo(week,") == (2 if wide else 1)
+    assert one.count() == 3
+
+
 def test_monthly_panel_without_series(spark):
     sparse = spark.createDataFrame(
         [("a", date(2021, 11, 1), 3), ("b", date(2022, 2, 1), 1)], "place string, month date, cases long"

@@ -29,9 +29,8 @@ def duck():
     con.close()
 
 
-def test_only_the_sample_by_generated_ids_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"point_sample"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -52,6 +51,6 @@ def test_entry_has_rows_and_a_stable_schema(spark):
     assert not any(isinstance(v, datetime) for v in df.first())
 
 
-def test_point_sample_is_whole_below_the_cap(spark):
+def test_the_sample_is_that_of_its_cap(spark):
     sampled, points = (QUERIES[q](spark, SF_DIR).count() for q in ("point_sample", "points_of_year"))
-    assert sampled == points
+    assert sampled == 100 < points

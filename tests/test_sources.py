@@ -1,8 +1,12 @@
+import csv
+import io
 import json
 from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -11,7 +15,7 @@ from panelwatch.sources import pointer
 from panelwatch.sources.ingest import Source, exit_code, ingest
 from panelwatch.sources.report import write_json
 from panelwatch.sources.store import RawStore
-from panelwatch.sources.text_csv import field_count, quotes_span_lines, read_text_csv
+from panelwatch.sources.text_csv import field_count, read_text_csv
 
 AT = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 LATER = datetime(2024, 1, 9, tzinfo=timezone.utc)
@@ -46,13 +50,11 @@ def test_short_rows_are_filled_and_long_ones_fail(spark, tmp_path):
 
 def test_quotes(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'a,b\n"x,y","say ""hi"""\n')
-    assert not quotes_span_lines(spark, path)
     assert rows(read_text_csv(spark, path)) == [("x,y", 'say "hi"')]
 
 
 def test_quoted_line_breaks(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'a,b\n"two\nlines",1\nplain,2\n')
-    assert quotes_span_lines(spark, path)
     assert rows(read_text_csv(spark, path), "b") == [("two\nlines", "1"), ("plain", "2")]
 
 
@@ -95,6 +97,88 @@ def test_field_count_ignores_quoted_separators(spark):
     assert [r[0] for r in df.select(field_count(F.col("r"))).collect()] == [3, 1, 3]
 
 
+SPLITS = pytest.mark.parametrize("split_bytes", ["20", "100000"])
+
+
+@pytest.fixture
+def split_size(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def put(size):
+        spark.conf.set(keys[0], size)
+        spark.conf.set(keys[1], "0")
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@SPLITS
+def test_quotes_within_unquoted_fields_are_characters(spark, tmp_path, split_size, split_bytes):
+    path = write(tmp_path / "q.csv", 'a,b\n1,5" disk\n2,y\n3,7" disk\n4,w\n5,a"b"c\n6,""\n7,"x ""y"\n')
+    split_size(split_bytes)
+    assert rows(read_text_csv(spark, path), "a") == [
+        ("1", '5" disk'), ("2", "y"), ("3", '7" disk'), ("4", "w"), ("5", 'a"b"c'), ("6", ""), ("7", 'x "y'),
+    ]
+
+
+@SPLITS
+def test_a_quoted_field_that_does_not_end_fails(spark, tmp_path, split_size, split_bytes):
+    path = write(tmp_path / "q.csv", 'a,b\n1,"open\n2,x\n3,y\n4,z\n')
+    split_size(split_bytes)
+    with pytest.raises(PySparkException, match="does not end"):
+        read_text_csv(spark, path).collect()
+    report = ingest(spark, RawStore(str(tmp_path / "store")), [Source("d", "x", path)], AT).first()
+    assert report["rows"] is None and "does not end" in report["error"]
+
+
+@SPLITS
+def test_reordered_headers_are_aligned_by_name(spark, tmp_path, split_size, split_bytes):
+    write(tmp_path / "many" / "0.csv", "a,b\n1,x\n2,y\n")
+    write(tmp_path / "many" / "1.csv", "b,a\nz,3\n")
+    split_size(split_bytes)
+    assert rows(read_text_csv(spark, str(tmp_path / "many")).select("a", "b"), "a") == [("1", "x"), ("2", "y"), ("3", "z")]
+    write(tmp_path / "many" / "2.csv", "a,c\n1,x\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_text_csv(spark, str(tmp_path / "many"))
+
+
+@SPLITS
+def test_blank_lines_around_the_header(spark, tmp_path, split_size, split_bytes):
+    path = write(tmp_path / "q.csv", '\n\r\na,b\n\n"1\n\n1",2\n\n3,4\n')
+    split_size(split_bytes)
+    assert rows(read_text_csv(spark, path), "a") == [("1\n\n1", "2"), ("3", "4")]
+
+
+def test_one_column_alone_is_checked_as_well(spark, tmp_path):
+    path = write(tmp_path / "q.csv", "a,b\n1,2\n1,2,3\n")
+    for column in ("a", "b"):
+        with pytest.raises(PySparkException, match="more than 2 fields"):
+            read_text_csv(spark, path).select(column).collect()
+
+
+def test_header_names(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'a,,a,"x\ny"\n1,2,3,4\n')
+    assert read_text_csv(spark, path).columns == ["a", "_c1", "a.1", "x\ny"]
+    with pytest.raises(ValueError, match="no header"):
+        read_text_csv(spark, write(tmp_path / "none.csv", "\n"))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.text('ab",\n\r ', max_size=6), min_size=2, max_size=2), min_size=1, max_size=25), st.integers(20, 90))
+def test_records_are_those_of_the_grammar(spark, tmp_path, split_size, table, split):
+    """Values as a CSV writer quotes them, in splits of any size."""
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows([["p", "q"], *table])
+    path = write(tmp_path / f"{abs(hash((str(table), split)))}.csv", out.getvalue())
+    split_size(str(split))
+    # Carriage returns at the end of a record are part of its line end.
+    expected = [(a, b) for a, b in table]
+    got = rows(read_text_csv(spark, path))
+    assert sorted(got) == sorted(expected)
+
+
 def test_many_files_have_their_header_each(spark, tmp_path):
     for i in range(3):
         write(tmp_path / "many" / f"{i}.csv", f"a,b\n{i},x\n")
@@ -129,7 +213,9 @@ def test_fallback_after_a_failure_while_parsing(spark, tmp_path):
     good = write(tmp_path / "good.csv", "a,b\n1,2\n")
     store = RawStore(str(tmp_path / "store"))
     report = ingest(spark, store, [Source("d", "x", broken, fallback=good)], AT)
-    assert report.first()["source_url"] == good
+    row = report.first()
+    assert row["source_url"] == good and row["error"] is None and "more than 2 fields" in row["primary_error"]
+    assert exit_code(report) == 0
     assert store.latest(spark, "d").count() == 1
 
 
@@ -157,6 +243,31 @@ def test_latest_without_snapshot_is_the_newest_version(spark, tmp_path):
     assert store.latest(spark, "d").count() == 1
 
 
+def test_a_published_version_is_not_written_again(spark, tmp_path):
+    store = RawStore(str(tmp_path / "store"))
+    path = Path(tmp_path / "a.csv")
+    for text, failed in (("a\n1\n", 0), ("a\n2\n", 1)):
+        write(path, text)
+        assert exit_code(ingest(spark, store, [Source("d", "x", str(path))], AT)) == failed
+    assert rows(store.latest(spark, "d").select("a")) == [("1",)]
+
+
+def test_history_has_the_columns_of_all_versions(spark, tmp_path):
+    store = RawStore(str(tmp_path / "store"))
+    store.add(spark.createDataFrame([("1", "x")], "a string, c string"), "d", "v1")
+    store.add(spark.createDataFrame([("2", "y")], "a string, b string"), "d", "v2")
+    history = store.history(spark, "d").select("a", "b", "c", "ingest_ts")
+    assert rows(history, "a") == [("1", "", "x", "v1"), ("2", "y", "", "v2")]
+
+
+def test_the_newest_version_is_a_complete_one(spark, tmp_path):
+    store = RawStore(str(tmp_path / "store"))
+    assert store.newest_version(spark, "d") is None
+    store.add(spark.range(1), "d", "v1")
+    (tmp_path / "store" / "raw" / "d" / "ingest_ts=v2").mkdir()
+    assert store.newest_version(spark, "d") == "v1"
+
+
 @pytest.mark.parametrize("copy", [False, True])
 def test_snapshot_with_and_without_files_of_its_own(spark, tmp_path, copy):
     store = RawStore(str(tmp_path / "store"))

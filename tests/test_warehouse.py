@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from panelwatch.operators import lookup
+from panelwatch.operators import checks, lookup
 from panelwatch.plans import analytics, api, dimensions, facts, quality, staging, warehouse
 from panelwatch.plans.dimensions import RawTables
 from panelwatch.plans.schema import DIMENSIONS, FACTS, TABLES
@@ -198,7 +198,7 @@ def test_points_and_years(tables):
     assert rows(api.dengue_years(tables)) == [(2015,), (2016,)]
     # A missing latitude counts here, but gives no point.
     assert tuple(api.dengue_top_year(tables).first()) == (2015, 2)
-    assert rows(api.map_points(tables, 2015)) == [(22.99, 120.21)]
+    assert rows(api.map_points(tables, 2015, 10)) == [(22.99, 120.21)]
 
 
 def test_headline_questions(tables):
@@ -239,7 +239,7 @@ def test_all_constraints_hold(spark, tables):
 def test_build_report_has_all_checks(spark, tables):
     report = quality.build_report(warehouse.staged_tables(raw_of(spark)), tables)
     got = dict(rows(report))
-    assert all(got.values()) and len(got) == 3 + 2 + 9 + 56 + 17
+    assert all(got.values()) and len(got) == 3 + 2 + 12 + 56 + 17
 
 
 def test_ensure_builds_once(spark, root, tables):
@@ -353,7 +353,8 @@ def test_fact_load_does_not_shuffle(spark, tables):
 
 
 def test_dimensions_too_large_to_broadcast_give_the_same_facts(spark, tables, monkeypatch):
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
+    for module in (lookup, facts):
+        monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
     staged = warehouse.staged_tables(raw_of(spark))
     for load, stage, fact in (
         (facts.load_nhi, "stg_nhi", "fact_nhi_visits"),
@@ -366,6 +367,49 @@ def test_dimensions_too_large_to_broadcast_give_the_same_facts(spark, tables, mo
         assert split.count() == tables[fact].count()
 
 
+def test_fact_ids_are_made_below_all_joins(spark, tables, monkeypatch):
+    for module in (lookup, facts):
+        monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
+    staged = warehouse.staged_tables(raw_of(spark))
+    loaded = facts.load_dengue(staged["stg_dengue"], tables)
+    plan = loaded._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(plan)}
+    ids = [i for i, line in enumerate(plan) if "monotonically_increasing_id" in line]
+    assert ids
+    for i in ids:
+        below = [j for j in range(i + 1, len(plan)) if depth[j] > depth[i]]
+        assert below and not any("Join" in plan[j] for j in below[:1])
+
+
+def test_constraints_hold_a_row_each_also_for_empty_tables(tables):
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    for constraints in (quality.unique_constraints, quality.reference_constraints, quality.not_null_constraints):
+        full, none = constraints(tables).collect(), constraints(empty).collect()
+        assert sorted(r.constraint for r in full) == sorted(r.constraint for r in none)
+        assert {r.violations for r in none} == {0}
+
+
+def test_duplicate_keys_keep_types_and_nulls_apart(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, ""), (None, None), (None, "\u0001")], "k int, t string")
+    keys = [("k", df, ["k"]), ("t", df, ["t"]), ("both", df, ["t", "k"])]
+    assert rows(checks.duplicate_keys(keys), "constraint") == [("both", 0), ("k", 2), ("t", 0)]
+
+
+def test_views_and_ranks_start_no_job(spark, tables):
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    analytics.register_views(tables, warehouse.staged_tables(raw_of(spark)))
+    api.county_rank_week(tables, "DENGUE", date(2015, 9, 7))
+    assert jobs() == before
+    assert spark.table("dim_iso_week").columns == ["iso_year", "iso_week", "week_start_date"]
+    assert spark.table("stg_dengue").count() == 4
+
+
+def test_sample_is_the_same_after_a_rebuild(spark, tables, tmp_path):
+    again = warehouse.build(raw_of(spark), str(tmp_path), ("2010-01-01", "2024-12-31"))
+    assert rows(api.map_points(tables, 2015, 1)) == rows(api.map_points(again, 2015, 1))
+
+
 def test_raw_tables_from_the_store(spark, tmp_path):
     store = RawStore(str(tmp_path))
     raw = raw_of(spark)
