@@ -1,0 +1,214 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_data import frame, text
+
+from panelwatch.llm import chat, maxscore, urls
+
+# Operator 2
+
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def conversations():
+    rows = [
+        (1, 0, "system", "be brief"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"),
+        (2, 0, "user", "</s>[INST] ok [/INST]"), (2, 1, "assistant", "</s>[INST] ok [/INST]"),
+        (3, 5, None, None), (3, None, "assistant", "first as its turn is null"), (3, 9, "assistant", None),
+        (None, 0, "user", "no id"), (None, 1, "assistant", "none either"),
+        (4, 0, "assistant", "a\\<s>\\\\[<\\s>["), (4, 0, "assistant", "a\\<s>\\\\[<\\s>["), (4, 0, "odd\nrole[n</s>", "x\n\ny"),
+        (5, 0, "user", ""), (5, 1, "assistant", text(5, 2000)), (5, 2, "user", "$1 \\1"), (5, 3, "assistant", "end"),
+        (8, 0, "system", "only"), (9, 0, "user", "q"), (9, 1, "system", "late system"), (9, 2, "assistant", "é𝒳\x00"),
+    ]
+    r = random.Random(2)
+    rows += [(6, 0, "system", text(6, 30))]
+    rows += [(6, t, r.choice(["user", "assistant", "tool"]), text(600 + t, r.randrange(40))) for t in range(1, 400)]
+    rows += [(7, -70 + 13 * t, ("user", "assistant")[t % 2], text(t, r.randrange(300))) for t in range(40)]
+    return rows
+
+
+def expected_conversations(rows):
+    convs = defaultdict(list)
+    key = lambda r: (r[1] is not None, r[1] or 0, (r[2] or "").encode(), (r[3] or "").encode())
+    for conv, _, role, said in sorted(rows, key=key):
+        convs[conv].append((role or "", said or ""))
+    return {c: (turns, "".join(s for role, s in turns if role == "assistant")) for c, turns in convs.items()}
+
+
+@pytest.fixture(scope="module")
+def formatted(spark):
+    df = frame(spark, conversations(), TURNS, None, {"window": "int", "_conv": "int", "loss": "int"})
+    return chat.windows(df, budget=120, history=40).cache()
+
+
+def test_formatted_conversations_read_back(formatted):
+    got = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    expected = expected_conversations(conversations())
+    assert set(got) == set(expected)
+    for conv, (turns, loss) in expected.items():
+        assert [(t.role, t.text) for t in got[conv].turns] == turns
+        assert got[conv].loss == loss
+
+
+def test_windows_are_aligned_budgeted_and_masked(formatted):
+    rows = formatted.collect()
+    convs = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.window):
+        pieces = r.formatted.split("</s>")
+        assert pieces.pop() == "" and len(pieces) == r.n_turns and all(p.startswith("<s>") for p in pieces)
+        assert r.formatted.count("<s>") == r.n_turns and "[INST]" not in r.formatted and "[/INST]" not in r.formatted
+        cost = [len(p.partition("\n")[2].encode().split()) + chat.MARKS for p in pieces]
+        own = cost[r.n_context :]
+        assert own and (sum(own) <= 80 or len(own) == 1)
+        convs[r.conv_id].append((r, pieces))
+        for s in r.loss:  # a masked-in text is a whole assistant turn
+            assert r.formatted[: s.start].endswith("<s>assistant\n")
+            assert r.formatted[s.start + s.length :].startswith("</s>")
+    for r, pieces in convs[6]:
+        assert pieces[0].startswith("<s>system\n")
+        if r.window:  # the system turn and some history are repeated, and not counted again
+            assert r.n_context >= 1 and sum(p.startswith("<s>system\n") for p in pieces) == 1
+            repeated = [len(p.partition("\n")[2].encode().split()) + chat.MARKS for p in pieces[1 : r.n_context]]
+            assert sum(repeated) <= 40
+    assert sum(r.n_context > 1 for r, _ in convs[6]) > 10
+
+
+def test_chat_query_and_nothing(spark, tmp_path):
+    frame(spark, [], TURNS).write.parquet(str(tmp_path / "conversations.parquet"))
+    (row,) = chat.op2_format_chats(spark, str(tmp_path)).collect()
+    said = "</s>[INST] ok [/INST]"
+    assert (row.conv_id, row.n_turns, row.loss_chars) == (-1, 2, len(said))
+    assert row.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+    assert chat.windows(frame(spark, [], TURNS)).count() == 0
+
+
+# Operator 3
+
+
+def brute_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.partition("://")[2]
+    cut = min([rest.index(c) for c in "/?#" if c in rest] + [len(rest)])
+    host, tail = rest[:cut], rest[cut:]
+    cut = min([tail.index(c) for c in "?#" if c in tail] + [len(tail)])
+    return "".join(c.lower() if c.isascii() else c for c in host), tail[:cut]
+
+
+def brute_rule(host, path):
+    fits = []
+    for rule in urls.RULES:
+        name, _, rest = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            fits.append(rule)
+    return max(fits, key=len, default=None)
+
+
+def url_rows():
+    odd = [
+        None, "", "no scheme", "http://", "://", "HTTP://A.ORG", "http://a.org/", "http://a.ORG/x?y#z", "http://example.org/es",
+        "http://example.org/es/1", "http://Sub.Example.org/en/1", "http://notexample.org/en/1", "http://x.com/fr/", "http://com/de/a",
+        "http://x.com?u=http://y.org/", "a://b.org/c://d.com/fr/", "http://É.org/\nx", "http://org.net/fr/", "x" * 5000 + "://a.org/",
+    ]
+    r = random.Random(9)
+    made = [
+        f"http{r.choice(['', 's'])}://{r.choice(['www.', 'm.', ''])}h{r.randrange(20)}.example.{r.choice(['org', 'com', 'net'])}"
+        f"/{r.choice(['en', 'fr', 'de', 'es'])}/{r.randrange(300)}{r.choice(['', '.html', '?a=1&b=2', '#top'])}"
+        for _ in range(400)
+    ]
+    return list(enumerate(odd + made + made[:10]))
+
+
+def test_every_url_is_judged_by_its_longest_rule(spark):
+    rows = url_rows()
+    pages = frame(spark, rows, "page_id bigint, url string", None, {"Host": "int", "rule": "int", "_p": "int", "features": "int"})
+    got = {r.page_id: r for r in urls.judge(pages, urls.labelled_by_rules(pages, urls.RULES), urls.RULES).collect()}
+    assert len(got) == len(rows)
+    for i, url in rows:
+        host, path = brute_parts(url)
+        rule = brute_rule(host, path)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule)
+        assert got[i].verdict == (urls.RULES[rule] if rule else got[i].verdict) and got[i].verdict in ("allow", "block")
+        assert got[i].features is not None
+    again = {r.page_id: r.verdict for r in urls.judge(pages, urls.labelled_by_rules(pages, urls.RULES), urls.RULES).collect()}
+    assert again == {i: r.verdict for i, r in got.items()}
+
+
+def test_trees_learn_held_out_labels(spark):
+    r = random.Random(4)
+    spam = lambda: f"http://{r.choice('abc')}{r.randrange(10**9)}-{r.randrange(99)}.win/{r.randrange(10**9)}?q={r.randrange(9)}&r=1&s=2"
+    ham = lambda: f"https://www.{r.choice(['news', 'blog', 'shop'])}.net/{r.choice(['about', 'posts', 'items'])}/page"
+    rows = [(spam(), 1) if i % 2 else (ham(), 0) for i in range(400)]
+    frame_ = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id bigint, url string, block int")
+    judged = urls.judge(frame_.where("page_id >= 200"), frame_.where("page_id < 200"), {}, trees=5).collect()
+    right = sum((r.verdict == "block") == bool(r.block) for r in judged)
+    assert len(judged) == 200 and right >= 195
+
+
+def test_url_labels_of_one_kind_or_none(spark):
+    pages = frame(spark, [(1, "http://a.net/x"), (2, None)], "page_id bigint, url string")
+    none = spark.createDataFrame([], "url string, block int")
+    assert {r.verdict for r in urls.judge(pages, none, {}).collect()} == {"allow"}
+    bad = spark.createDataFrame([("http://b.net/", 1)], "url string, block int")
+    assert {r.verdict for r in urls.judge(pages, bad, {}).collect()} == {"block"}
+    assert urls.judge(pages.limit(0), none, urls.RULES).count() == 0
+
+
+# Operator 7
+
+VECTORS = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute_top(rows, k=5):
+    def whole(v):
+        return v is not None and all(x is not None and np.isfinite(x) for x in v)
+
+    quantised = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v, _ in rows if whole(v)]
+    out = []
+    for q, a in quantised:
+        if q is not None and q % 50 == 0:
+            scored = [(sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in quantised if i != q]
+            best = sorted(scored, key=lambda s: (-s[0], s[1] is None, s[1] or 0))[:k]
+            out += [(q, rank + 1, i, s) for rank, (s, i) in enumerate(best)]
+    return Counter(out)
+
+
+def vector_rows(n=600, seed=1):
+    r = random.Random(seed)
+    rows = [(i, [r.gauss(0, 0.2) for _ in range(16)], 0) for i in range(n)]
+    rows += [(n + i, [round(r.gauss(0, 0.01), 2)] * 16, 0) for i in range(60)]  # many ties
+    rows += [
+        (1000, None, None), (1050, [], 0), (1100, [0.5, None], 0), (1150, [float("nan")] * 3, 0), (1200, [float("inf")], 0),
+        (1250, [1.0, -2.0], 0), (None, [0.3] * 16, 0), (1300, [3e5] * 16, 0), (7, [0.1] * 16, 0), (50, [0.2] * 20, 0),
+    ]
+    return rows
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_top_k_equals_brute_force(spark, tmp_path, block):
+    vectors = frame(spark, vector_rows(), VECTORS, tmp_path, {"rank": "int", "q": "int"})
+    got = maxscore.top_k(vectors, vectors.vec_id % 50 == 0, block=block)
+    assert Counter(map(tuple, got.collect())) == brute_top(vector_rows())
+
+
+def test_top_k_of_few_and_no_vectors(spark):
+    few = frame(spark, [(0, [1.0, 2.0], 0), (1, [0.5, 0.5], 0), (2, [1.0], 0)], VECTORS)
+    got = [tuple(r) for r in maxscore.top_k(few, few.vec_id % 50 == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 256 * 128 + 512 * 128), (0, 2, 2, 65536)]
+    assert maxscore.top_k(few.limit(0), few.vec_id % 50 == 0).count() == 0
+
+
+def test_maxscore_leaves_terms_and_rows_out_but_not_results():
+    r = np.random.default_rng(5)
+    postings = np.floor(r.normal(0, 1, (32, 4000)) * np.geomspace(400, 1, 32)[:, None])
+    query, ids = np.floor(r.normal(0, 100, 32)), np.arange(4000)
+    best = maxscore.Best(5)
+    maxscore.search(postings, ids, query, 17, best)
+    scores = query @ postings
+    scores[17] = -np.inf
+    order = np.lexsort((ids, -scores))[:5]
+    assert list(best.id) == list(order) and list(best.score) == list(scores[order])
