@@ -99,7 +99,7 @@ def brute_contaminated(doc, items):
 
 
 def test_contaminated_documents_equal_brute_force(spark, tmp_path):
-    items = [(i, text(200 + i, 12 + 7 * i)) for i in range(8)] + [(20, "Word"), (21, ""), (22, None), (23, "just three words")]
+    items = [(i, text(200 + i, 20 + 20 * i)) for i in range(8)] + [(20, "Word"), (21, ""), (22, None), (23, "just three words")]
     passages = [t for _, t in items if t]
     rows = documents()
     r = random.Random(3)
