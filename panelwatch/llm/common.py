@@ -28,6 +28,26 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name for a passing column that no column of `df` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(df: DataFrame, name: str, **others: Column) -> DataFrame:
+    """All columns of `df` as one struct, beside others made from them; so no names can clash."""
+    whole = F.struct(*[df[f"`{c}`"] for c in df.columns])
+    return df.select(whole.alias(name), *[c.alias(n) for n, c in others.items()])
+
+
+def unpacked(df: DataFrame, name: str, *others: Column) -> DataFrame:
+    """The columns of a packed struct again, and others behind them."""
+    fields = df.schema[name].dataType.names
+    return df.select(*[F.col(name).getField(f).alias(f) for f in fields], *others)
+
+
 def words_in(text: Column) -> Column:
     """Number of words as a long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

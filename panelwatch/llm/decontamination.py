@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import without
+from panelwatch.llm.common import fresh
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
@@ -109,7 +109,7 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
             places.distinct().groupBy("gram").agg(F.collect_set(F.struct("size", "at")).alias("places")), "item_shingles"
         )
         grams = cut.select("text", "ws", F.posexplode(_hashes(F.col("ws"), k)).alias("pos", "gram"))
-        found = lookup(grams, table, ["gram"])
+        found = lookup(grams, table, ["gram"], salt_by=["pos", "gram"])
         anchors = found if anchors is None else anchors.unionByName(found)
     place = anchors.select("text", "ws", "pos", F.explode("places").alias("p"))
     size = F.col("p.size")
@@ -189,9 +189,9 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item, all columns as they are."""
-    found = materialise(contaminated(docs, benchmark, **options).select(F.col("key").alias("_key")), "contaminated")
-    docs = without(docs, ["_key"])
-    return docs.withColumn("_key", F.md5("text")).join(found, "_key", "left_anti").drop("_key")
+    key = fresh(docs, "_key")
+    found = materialise(contaminated(docs, benchmark, **options).select(F.col("key").alias(key)), "contaminated")
+    return docs.withColumn(key, F.md5("text")).join(found, key, "left_anti").drop(key)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

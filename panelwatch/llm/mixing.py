@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import WORD, without, words_in
+from panelwatch.llm.common import WORD, fresh, packed, unpacked, without, words_in
 from panelwatch.operators.keys import number_rows
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
@@ -26,6 +26,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # all targets together, in parts of all words
 MOST = 2.0  # a target, in parts of its source's words
 SEED = "mix-1"
+ADDED = ("size", "source_size", "target", "copies")
 
 
 def draw(seed: str, *keys: Column) -> Column:
@@ -80,23 +81,21 @@ def plan(
     seed: str = SEED,
 ) -> DataFrame:
     """The documents with size, source_size, target (of the source) and copies, the times to emit each."""
-    docs = without(docs, ["size", "source_size", "target", "copies", "_key", "_rate"])
+    docs = without(docs, ADDED)
     by_source = targets(docs, weights, share, most)
-    joined = lookup(
-        docs.withColumns({"size": words_in(F.col("text")), "_key": _key(F.col("source"))}), by_source, ["_key"]
-    )
+    keyed = packed(docs, "doc", size=words_in(F.col("text")), _key=_key(F.col("source")), draw=draw(seed, F.col("doc_id")))
+    joined = lookup(keyed, by_source, ["_key"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(F.col("_rate"))
-    extra = (draw(seed, F.col("doc_id")) < F.col("_rate") - whole).cast("int")
-    return joined.withColumn("_rate", rate).withColumn("copies", (whole + extra).cast("int")).drop("_key", "_rate")
+    copies = F.floor("rate") + (F.col("draw") < F.col("rate") - F.floor("rate")).cast("int")
+    rated = joined.withColumn("rate", rate)
+    return unpacked(rated, "doc", "size", "source_size", "target", copies.cast("int").alias("copies"))
 
 
 def emit(planned: DataFrame) -> DataFrame:
     """The mix itself: every document as many times as planned, with the documents' columns."""
-    repeated = planned.where(F.col("copies") > 0).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))
-    )
-    return repeated.drop("_copy", "size", "source_size", "target", "copies")
+    number = fresh(planned, "_copy")
+    repeated = planned.where(F.col("copies") > 0).withColumn(number, F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.drop(number, *ADDED)
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import with_row_key, without
+from panelwatch.llm.common import fresh, unpacked, with_row_key, without
 from panelwatch.session import scratch_path
 
 SHARDS = 16
@@ -36,39 +36,41 @@ def shuffled(
     docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, seed: int = SEED
 ) -> DataFrame:
     """The documents with `shard` (0 to shards - 1) and `slot` (0, 1, ... in each shard)."""
-    docs = without(docs, ["shard", "slot", "_row", "_place", "_bucket", "_rows", "_at", "_first"])
-    names = docs.columns
-    keyed = with_row_key(docs, "_row")
+    docs = without(docs, ["shard", "slot"])
+    row = fresh(docs, "_row")
     total, n = docs.agg(F.sum(size_of(F.col("text"))), F.count("*")).first()
     buckets = max(1, -(-(total or 0) // bucket_bytes))
 
-    place = F.xxhash64(F.lit(seed), F.col("_row.file"), F.col("_row.row"))
-    scattered = keyed.withColumn("_place", place).withColumn(
-        "_bucket", F.pmod(F.col("_place"), F.lit(buckets)).cast("int")
+    keyed = with_row_key(docs, row)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    place = F.xxhash64(F.lit(seed), F.col(row)["file"], F.col(row)["row"])
+    scattered = keyed.select(
+        whole.alias("doc"),
+        F.col(row).alias("row"),
+        place.alias("place"),
+        F.pmod(place, F.lit(buckets)).cast("int").alias("bucket"),
     )
     # One row per bucket, combined before the shuffle: the rows before each bucket.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = (
-        scattered.groupBy("_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+        scattered.groupBy("bucket")
+        .agg(F.count("*").alias("n"))
+        .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
     gathered = (
-        scattered.repartitionById(buckets, F.col("_bucket"))
-        .sortWithinPartitions("_place", "_row")
-        .groupBy("_bucket")
-        .agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_rows"))
+        scattered.repartitionById(buckets, F.col("bucket"))
+        .sortWithinPartitions("place", "row")
+        .groupBy("bucket")
+        .agg(F.collect_list("doc").alias("docs"))
     )
     # As many rows of two numbers as there are buckets, each of which stands for `bucket_bytes` of text.
-    permuted = gathered.join(F.broadcast(first), "_bucket").select(
-        "_first", F.posexplode(F.shuffle("_rows", seed)).alias("_at", "_rows")
-    )
-    position = F.col("_first") + F.col("_at")
-    shard = F.expr(f"((_first + _at) * {shards}L) div {max(1, n)}L")
-    start = F.expr(f"((((_first + _at) * {shards}L) div {max(1, n)}L) * {n}L + {shards - 1}L) div {shards}L")
-    return permuted.select(
-        *[F.col("_rows")[c].alias(c) for c in names], shard.cast("int").alias("shard"), (position - start).alias("slot")
+    permuted = gathered.join(F.broadcast(first), "bucket").select(
+        F.posexplode(F.shuffle("docs", seed)).alias("at", "doc"), "first"
     )
+    placed = permuted.withColumn("position", F.col("first") + F.col("at"))
+    shard = F.expr(f"(position * {shards}L) div {max(1, n)}L")
+    start = F.expr(f"(((position * {shards}L) div {max(1, n)}L) * {n}L + {shards - 1}L) div {shards}L")
+    return unpacked(placed, "doc", shard.cast("int").alias("shard"), (F.col("position") - start).alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> DataFrame:

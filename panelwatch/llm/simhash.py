@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwatch.llm.common import run_anywhere, with_row_key
+from panelwatch.llm.common import fresh, run_anywhere, with_row_key
 from panelwatch.llm.graph import components
 from panelwatch.session import materialise
 
@@ -122,10 +122,11 @@ def classes(docs: DataFrame, keep: Column | None = None) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each class the row with the least doc_id (by place in
     its file among equal ones), all columns as they are."""
-    keyed = with_row_key(docs, "_row")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    grouped = classes(keyed, F.col("_row")).groupBy("root").agg(F.min(order).alias("_first"))
-    return keyed.join(grouped.select(F.col("_first._row").alias("_row")), "_row", "left_semi").drop("_row")
+    row = fresh(docs, "_row")
+    keyed = with_row_key(docs, row)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("row"))
+    grouped = classes(keyed, F.col(row)).groupBy("root").agg(F.min(order).alias("first"))
+    return keyed.join(grouped.select(F.col("first.row").alias(row)), row, "left_semi").drop(row)
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwatch.llm.common import run_anywhere, with_row_key, without
+from panelwatch.llm.common import fresh, run_anywhere, unpacked, with_row_key, without
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
@@ -230,7 +230,7 @@ def _by_text(keyed: DataFrame, units: DataFrame) -> DataFrame:
     """The texts that have units, each with all of its own."""
     unit = F.struct("first", "last", "anchor")
     lists = materialise(units.groupBy(*_KEY).agg(F.collect_list(unit).alias("units")), "units")
-    return lookup(keyed, lists, _KEY)
+    return lookup(keyed, lists, _KEY, salt_by=_KEY)
 
 
 @F.arrow_udf(T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())))
@@ -264,13 +264,15 @@ def kept_bytes(texts: pa.Array, removed: pa.Array) -> pa.Array:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """The documents with `removed`: the maximal byte ranges covered by strings that occur elsewhere too."""
-    docs = without(docs, ["removed", "_row", "_units", "_spans", *_KEY])
-    names = docs.columns
+    docs = without(docs, ["removed"])
+    row = fresh(docs, "_row")
     half = length // 2
     if length % 2 or not 0 < block <= half:
         raise ValueError("the length must be even, and a block at most its half")
-    row = with_row_key(docs, "_row")
-    keyed = row.withColumns({"_f": F.xxhash64("_row.file"), "_r": F.col("_row.row")}).drop("_row")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    keyed = with_row_key(docs, row).select(
+        whole, "text", F.xxhash64(F.col(row)["file"]).alias("_f"), F.col(row)["row"].alias("_r")
+    )
     texts = keyed.where(F.octet_length("text") >= length).select(*_KEY, "text")
 
     repeated, open_ = _resolve(materialise(texts.mapInArrow(_runs(length), _UNIT), "runs"))
@@ -285,9 +287,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
     span = F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     lists = covered.groupBy(*_KEY).agg(F.collect_set(span).alias("_units"))
     spans = materialise(lists.select(*_KEY, _merged("_units").alias("_spans")), "removed")
-    joined = lookup(keyed, spans, _KEY, "left")
+    joined = lookup(keyed.drop("text"), spans, _KEY, "left", salt_by=_KEY)
     none = F.array().cast("array<struct<start: int, end: int>>")
-    return joined.withColumn("removed", F.coalesce("_spans", none)).select(*[f"`{c}`" for c in names], "removed")
+    return unpacked(joined, "doc", F.coalesce("_spans", none).alias("removed"))
 
 
 def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

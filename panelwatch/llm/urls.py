@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import without
+from panelwatch.llm.common import packed, unpacked, without
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
@@ -130,11 +130,8 @@ def judge(
 ) -> DataFrame:
     """The pages with host, path, rule and verdict. `labelled` has url and block (0 or 1)."""
     added = ["host", "path", "rule", "verdict"]
-    made = [*FEATURES, *GROUPS, *[f"{g}_rate" for g in GROUPS], "_features", "_p", "_block", "_n", "rawPrediction", "probability"]
-    pages = without(pages, [*added, *made])
-    names = pages.columns
     url = F.col("url")
-    parsed = pages.withColumns({"host": host_of(url), "path": path_of(url)})
+    parsed = packed(without(pages, added), "page", url=url, host=host_of(url), path=path_of(url))
     parsed = parsed.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     by_rule = _verdict_of(F.col("rule"), rules)
 
@@ -143,7 +140,7 @@ def judge(
     n, blocked = known.agg(F.count("*"), F.coalesce(F.sum("_block"), F.lit(0.0))).first()
     if blocked in (0, n):
         constant = F.lit("block" if n and blocked == n else "allow")
-        return parsed.withColumn("verdict", F.coalesce(by_rule, constant)).select(*[f"`{c}`" for c in names], *added)
+        return unpacked(parsed.withColumn("verdict", F.coalesce(by_rule, constant)), "page", *added)
 
     overall = blocked / n
     rates = {
@@ -164,7 +161,7 @@ def judge(
 
     ready = assembler.transform(_with_rates(with_features(parsed), rates, overall))
     by_trees = F.when(F.col("_p") > 0.5, "block").otherwise("allow")
-    return boosted.transform(ready).withColumn("verdict", F.coalesce(by_rule, by_trees)).select(*[f"`{c}`" for c in names], *added)
+    return unpacked(boosted.transform(ready).withColumn("verdict", F.coalesce(by_rule, by_trees)), "page", *added)
 
 
 def labelled_by_rules(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
