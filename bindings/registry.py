@@ -41,15 +41,16 @@ def _orders_panel(spark: SparkSession, sf_dir: str, cluster_by: list[str]) -> Da
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
     orders = lookup(table(spark, sf_dir, "orders"), customers, ["o_custkey"])
-    placed = lookup(orders, nation.select("n_nationkey", "n_name"), ["n_nationkey"])
+    # Summed by key; only the sums are given names.
     sparse = sparse_panel(
-        placed.withColumn("week_start_date", calendar.week_start(F.col("o_orderdate").cast("date"))),
-        ["o_orderpriority", "n_name", "week_start_date"],
+        orders.withColumn("week_start_date", calendar.week_start(F.col("o_orderdate").cast("date"))),
+        ["o_orderpriority", "n_nationkey", "week_start_date"],
         metric=F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
         denominator=F.lit(1),
     )
+    named = lookup(sparse, nation.select("n_nationkey", "n_name"), ["n_nationkey"]).drop("n_nationkey")
     return densify(
-        materialise(sparse, "orders_weekly"),
+        materialise(named, "orders_weekly"),
         nation,
         series=["o_orderpriority"],
         entity="n_name",
@@ -156,17 +157,22 @@ def order_points_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Ingestion: the derived sources written as CSV, then landed as a user's files are.
 
 
-def _ingest(spark: SparkSession, sf_dir: str, *roles: str) -> tuple[RawStore, DataFrame]:
+def csv_sources(spark: SparkSession, sf_dir: str, *roles: str) -> list[Source]:
+    """The derived sources as CSV files; all of them if none is named."""
     raw = bound.landed(spark, sf_dir)
-    root = scratch_path(spark, "ingest")
+    root = scratch_path(spark, "csv")
     sources = []
-    for role in roles:
+    for role in roles or DATASETS:
         name, disease = DATASETS[role]
-        path = f"{root}/files/{name}"
+        path = f"{root}/{name}"
         _to_csv(getattr(raw, role), path)
         sources.append(Source(name, disease, path))
-    store = RawStore(f"{root}/store")
-    return store, ingest(spark, store, sources)
+    return sources
+
+
+def _ingest(spark: SparkSession, sf_dir: str, *roles: str) -> tuple[RawStore, DataFrame]:
+    store = RawStore(scratch_path(spark, "store"))
+    return store, ingest(spark, store, csv_sources(spark, sf_dir, *roles))
 
 
 def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""One warehouse per session and table directory, as a user of the library has it."""
+"""One warehouse per session and state of a table directory, as a user of the library has it."""
 
 from __future__ import annotations
 
@@ -10,14 +10,20 @@ from bindings import feeds
 from panelwatch.plans import warehouse
 from panelwatch.plans.dimensions import RawTables
 from panelwatch.session import materialise, run_together, scratch_path
+from panelwatch.sources.files import stamp
 
-_RAW: dict[tuple[str, str], RawTables] = {}
-_ROOTS: dict[tuple[str, str], str] = {}
+_RAW: dict[tuple, RawTables] = {}
+_ROOTS: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Other files under the same path make another warehouse."""
+    return (spark.sparkContext.applicationId, sf_dir, stamp(spark, sf_dir))
 
 
 def landed(spark: SparkSession, sf_dir: str) -> RawTables:
     """The derived sources, written as raw tables once."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _state(spark, sf_dir)
     if key not in _RAW:
         raw = feeds.raw_tables(spark, sf_dir)
         jobs = {role: partial(materialise, df, f"raw_{role}") for role, df in vars(raw).items()}
@@ -27,7 +33,7 @@ def landed(spark: SparkSession, sf_dir: str) -> RawTables:
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The warehouse on these sources, built on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _state(spark, sf_dir)
     if key not in _ROOTS:
         _ROOTS[key] = scratch_path(spark, "warehouse")
     return warehouse.ensure(spark, _ROOTS[key], lambda: landed(spark, sf_dir), feeds.CALENDAR)

@@ -23,6 +23,13 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(place) if entry.isDirectory()]
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of change of all that a folder holds itself."""
+    files, place = _at(spark, path)
+    entries = [(e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in files.listStatus(place)]
+    return tuple(sorted(entries))
+
+
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Delete a folder when the session's process ends."""
     files, place = _at(spark, path)
