@@ -216,14 +216,23 @@ def _cut(length: int, width: int):
 
 
 def _resolve(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of one round: the rows that are repeated as a whole, and those to cut for the next round."""
-    ranked = rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    """Of one round: the rows that are repeated as a whole, and one row of each kind (core and whole).
+
+    Counts are written before they are joined, so both sides of a join are plain shuffles, of which
+    adaptive execution can split a hot rank.
+    """
+    ranked = materialise(rows.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "ranks")
     shared = materialise(rows.join(ranked, "core"), "shared_ranks")
     unit = F.struct(*_KEY, "first", "last", "anchor")
     kinds = materialise(shared.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(unit).alias("unit")), "kinds")
     repeated = shared.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"])
-    open_ = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
-    return repeated.select(*_KEY, "first", "last"), kinds.join(open_, "core").select("unit.*")
+    return repeated.select(*_KEY, "first", "last"), kinds
+
+
+def _open(kinds: DataFrame) -> DataFrame:
+    """The rows to cut for the next round: one of each kind of the ranks that have several."""
+    several = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
+    return kinds.join(materialise(several, "open_ranks"), "core").select("unit.*")
 
 
 def _by_text(keyed: DataFrame, units: DataFrame) -> DataFrame:
@@ -275,11 +284,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
     )
     texts = keyed.where(F.octet_length("text") >= length).select(*_KEY, "text")
 
-    repeated, open_ = _resolve(materialise(texts.mapInArrow(_runs(length), _UNIT), "runs"))
+    repeated, kinds = _resolve(materialise(texts.mapInArrow(_runs(length), _UNIT), "runs"))
     found = [repeated]
     for width in dict.fromkeys((block, 1)):
-        cut = _by_text(texts, open_).mapInArrow(_cut(length, width), _UNIT)
-        repeated, open_ = _resolve(materialise(cut, "cut_runs"))
+        cut = _by_text(texts, _open(kinds)).mapInArrow(_cut(length, width), _UNIT)
+        repeated, kinds = _resolve(materialise(cut, "cut_runs"))
         found.append(repeated)
     covered = found[0]
     for more in found[1:]:
