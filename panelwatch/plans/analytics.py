@@ -63,7 +63,11 @@ def weekly_sparse(tables: Tables) -> DataFrame:
     sums = visits.unionByName(cases)
     diseases = tables["dim_disease"].select("disease_key", *WEEKLY_SERIES)
     named = lookup(sums, diseases, ["disease_key"], small=True)
-    named = lookup(named, _county_names(tables), ["geo_key"])
+    # Should the names need a split join, it counts keys in the facts and not in the sums made again.
+    places = tables["fact_nhi_visits"].select("geo_key").unionAll(
+        tables["fact_dengue_cases"].select("residence_geo_key")
+    )
+    named = lookup(named, _county_names(tables), ["geo_key"], keys_of=places)
     monday = calendar.week_start(calendar.key_date(F.col("date_key")))
     by_week = sparse_panel(
         named.withColumn("week_start_date", monday),
@@ -135,7 +139,7 @@ def monthly_sparse(tables: Tables) -> DataFrame:
         metric=F.col("case_count"),
         names=("cases", ""),
     )
-    named = lookup(sums, _county_names(tables), ["geo_key"])
+    named = lookup(sums, _county_names(tables), ["geo_key"], keys_of=tables["fact_covid_cases"].select("geo_key"))
     year, month = F.col("onset_year").cast("int"), F.col("onset_month").cast("int")
     months = named.select(
         "county_name",
