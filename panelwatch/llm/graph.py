@@ -9,8 +9,9 @@ from panelwatch.session import materialise
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """Every u of (u, v) with the least of its v and itself, as `least`."""
-    return pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least"))
+    """Every u of (u, v) with the least of its v and itself, as `least`; written, so that the join with
+    it is one of plain shuffles, in which a node with very many edges can be split."""
+    return materialise(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least")), "least")
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large and small stars alternate until nothing changes, which takes a number of rounds that grows with
     the logarithm of the longest path. A round moves one row per edge, minima are combined before the
-    shuffle, and a node with very many edges is split by adaptive execution, as all joins are plain.
+    shuffle, and a node with very many edges is split by adaptive execution.
     Roots themselves are not listed.
     """
     state = materialise(edges.where("u != v").distinct(), "edges")

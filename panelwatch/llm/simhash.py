@@ -114,7 +114,7 @@ def classes(docs: DataFrame, keep: Column | None = None) -> DataFrame:
     rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    least = materialise(rooted.groupBy("root").agg(F.min("first").alias("component")), "components")
     named = rooted.join(least, "root").select("fp", "root", "component")
     return marked.join(named, "fp").select("doc_id", "fp", "root", "component", *names)
 
