@@ -37,7 +37,7 @@ run_anywhere(__name__)
 
 UNDETERMINED = "und"
 _START = 0xFF  # stands before a text; never a byte of UTF-8
-_PIECE = 4 << 20
+_PIECE = 1 << 20
 
 
 @dataclass(frozen=True)

@@ -41,7 +41,7 @@ run_anywhere(__name__)
 
 LENGTH = 400
 BLOCK = 25
-_PIECE = 1 << 20  # starts hashed at a time
+_PIECE = 1 << 18  # starts hashed at a time
 _ROOM = _PIECE + (1 << 14)
 _KEY = ["_f", "_r"]
 _UNIT = "_f bigint, _r bigint, first int, last int, anchor int, core bigint, whole bigint"

@@ -1,15 +1,19 @@
 """The registered queries of the subpackage against their SQL or defining properties, and the pipeline."""
 
+import hashlib
 from collections import Counter
 from pathlib import Path
 
 import corpus_pipeline
 import duckdb
 import pytest
+import regex
 from llm_data import CLASHING, SCHEMA, documents, frame
+from test_llm_mixing_sharding import brute_targets, n_words
+from test_llm_text_operators import brute_print, brute_roots, brute_similarity
 
 import __spark_entry__ as driver
-from panelwatch.llm import decontamination, queries, simhash
+from panelwatch.llm import decontamination, mixing, queries, simhash
 
 SF_DIR = "/root/testdata/sf0.001"
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
@@ -85,6 +89,49 @@ def test_pipeline_stages_do_what_their_operators_say(spark):
     assert spent["near_dedup"] > 0 and spent["decontamination"] > 0 and spent["language"] == 0
 
 
+def brute_pipeline(docs, items):
+    """doc_id and times of all documents that the stages leave, in plain Python."""
+    kept = [d for d in docs if any(c.isalpha() for c in d.text or "")]
+    prints = {d.doc_id: brute_print(d.text) for d in kept}
+    roots = brute_roots(sorted(set(prints.values())))
+    first = {}
+    for i, p in prints.items():
+        first[roots[p]] = min(i, first.get(roots[p], i))
+    kept = [d for d in kept if d.doc_id == first[roots[prints[d.doc_id]]]]
+
+    words = lambda t: regex.findall(r"[\p{L}\p{M}\p{N}]+", (t or "").lower())
+    benchmark = [words(i.text) for i in items if words(i.text)]
+
+    def holds_item(text):
+        ws = words(text)
+        return bool(ws) and any(
+            brute_similarity(ws[s : s + len(it)], it) >= 0.8 for it in benchmark for s in range(max(1, len(ws) - len(it) + 1))
+        )
+
+    kept = [d for d in kept if not holds_item(d.text)]
+    size = {d.doc_id: n_words(d.text) for d in kept}
+    sizes = Counter()
+    for d in kept:
+        sizes[d.source] += size[d.doc_id]
+    wanted = brute_targets(dict(sizes))
+    times = Counter()
+    for d in kept:
+        rate = float(wanted[d.source]) / sizes[d.source]
+        draw = int(hashlib.md5(f"{mixing.SEED}:{d.doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+        times[d.doc_id] += int(rate) + (draw < rate - int(rate))
+    return +times
+
+
+def test_pipeline_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+    out = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert Counter(r.doc_id for r in out) == brute_pipeline(docs, items)
+    slots = Counter(r.shard for r in out)
+    assert max(slots.values()) - min(slots.values()) <= 1
+    assert {(r.shard, r.slot) for r in out} == {(k, i) for k, n in slots.items() for i in range(n)}
+
+
 def test_pipeline_takes_odd_documents(spark, tmp_path):
     frame(spark, documents(), SCHEMA, None, CLASHING).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(0, None), (1, "some item of words")], "item_id bigint, text string").write.parquet(
