@@ -10,11 +10,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwatch.operators.lookup import BROADCAST_ROWS
 from panelwatch.session import materialise
 
 # Fixed values of the contracts: what a word is, and the space between words.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Entries of a few numbers each.
+BROADCAST_ENTRIES = 2_000_000
+
 
 def run_anywhere(module: str) -> None:
     """Send the functions of a module to Python workers by value, so that a worker that cannot import
@@ -48,6 +52,13 @@ def unpacked(df: DataFrame, name: str, *others: Column) -> DataFrame:
     return df.select(*[F.col(name).getField(f).alias(f) for f in fields], *others)
 
 
+def small_lists(table: DataFrame, lists: str) -> bool:
+    """Whether a written table with a column of lists may be broadcast: both its rows and all the
+    entries of its lists are counted."""
+    rows, entries = table.agg(F.count("*"), F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and entries <= BROADCAST_ENTRIES
+
+
 def words_in(text: Column) -> Column:
     """Number of words as a long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

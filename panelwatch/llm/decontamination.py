@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import fresh
+from panelwatch.llm.common import fresh, small_lists
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
@@ -109,7 +109,7 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
             places.distinct().groupBy("gram").agg(F.collect_set(F.struct("size", "at")).alias("places")), "item_shingles"
         )
         grams = cut.select("text", "ws", F.posexplode(_hashes(F.col("ws"), k)).alias("pos", "gram"))
-        found = lookup(grams, table, ["gram"], salt_by=["pos", "gram"])
+        found = lookup(grams, table, ["gram"], small=small_lists(table, "places"), salt_by=["pos", "gram"])
         anchors = found if anchors is None else anchors.unionByName(found)
     place = anchors.select("text", "ws", "pos", F.explode("places").alias("p"))
     size = F.col("p.size")
@@ -147,7 +147,8 @@ def contaminated(
         "key", "size", "start", "fp", "grams", _blocks(F.col("fp"), radius).alias("_b")
     )
     probes = probes.withColumns({"block": F.col("_b.block"), "value": F.col("_b.value")}).drop("_b")
-    met = lookup(probes, materialise(index, "item_blocks"), ["size", "block", "value"]).select(
+    index = materialise(index, "item_blocks")
+    met = lookup(probes, index, ["size", "block", "value"], small=small_lists(index, "items")).select(
         "key", "start", "block", "fp", "grams", F.explode("items").alias("i")
     )
     apart = F.col("fp").bitwiseXOR(F.col("i.item_fp"))
@@ -160,7 +161,8 @@ def contaminated(
     near = met.where((F.bit_count(apart) <= radius) & ~earlier).select(
         "key", F.col("i.item_id").alias("item_id"), "grams"
     )
-    verified = lookup(near, known.select("item_id", "item_grams"), ["item_id"]).select(
+    grams_of = known.select("item_id", "item_grams")
+    verified = lookup(near, grams_of, ["item_id"], small=small_lists(grams_of, "item_grams")).select(
         "key", "item_id", similarity(F.col("grams"), F.col("item_grams")).alias("similarity")
     )
     best = F.max(F.struct("similarity", (-F.col("item_id")).alias("item_id"))).alias("_best")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwatch.llm.common import fresh, run_anywhere, unpacked, with_row_key, without
+from panelwatch.llm.common import fresh, run_anywhere, small_lists, unpacked, with_row_key, without
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
@@ -239,7 +239,7 @@ def _by_text(keyed: DataFrame, units: DataFrame) -> DataFrame:
     """The texts that have units, each with all of its own."""
     unit = F.struct("first", "last", "anchor")
     lists = materialise(units.groupBy(*_KEY).agg(F.collect_list(unit).alias("units")), "units")
-    return lookup(keyed, lists, _KEY, salt_by=_KEY)
+    return lookup(keyed, lists, _KEY, small=small_lists(lists, "units"), salt_by=_KEY)
 
 
 @F.arrow_udf(T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())))
@@ -296,7 +296,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
     span = F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     lists = covered.groupBy(*_KEY).agg(F.collect_set(span).alias("_units"))
     spans = materialise(lists.select(*_KEY, _merged("_units").alias("_spans")), "removed")
-    joined = lookup(keyed.drop("text"), spans, _KEY, "left", salt_by=_KEY)
+    joined = lookup(keyed.drop("text"), spans, _KEY, "left", small=small_lists(spans, "_spans"), salt_by=_KEY)
     none = F.array().cast("array<struct<start: int, end: int>>")
     return unpacked(joined, "doc", F.coalesce("_spans", none).alias("removed"))
 
