@@ -110,7 +110,7 @@ labels AS (
   SELECT age_label FROM stg_nhi UNION SELECT age_label FROM stg_covid UNION SELECT age_label FROM stg_dengue),
 dim_age_group AS (
   SELECT (row_number() OVER (ORDER BY age_label))::INTEGER AS age_key, age_label,
-         nullif(regexp_extract(age_label, '^([0-9]+)(-[0-9]+|\+)?$', 1), '')::SMALLINT AS age_lower,
+         nullif(regexp_extract(age_label, '^([0-9]+)(-[0-9]+|[+])?$', 1), '')::SMALLINT AS age_lower,
          nullif(regexp_extract(age_label, '^([0-9]+-)?([0-9]+)$', 2), '')::SMALLINT AS age_upper
   FROM labels),
 county_map AS (SELECT DISTINCT county_code, county AS county_name FROM src_flu),
