@@ -23,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
+    "op4_repeated_substrings": substrings.SQL,
     "op7_top_k": maxscore.SQL,
 }

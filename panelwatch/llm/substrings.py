@@ -312,3 +312,34 @@ def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+SQL = f"""
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), starts AS (
+  SELECT doc_id, x, unnest(range(0, greatest(len(x) // 2 - {LENGTH - 1}, 0))) AS p FROM texts
+), hashed AS (
+  SELECT doc_id, p, hash(substr(x, 2 * p + 1, {2 * LENGTH})) AS k FROM starts
+), repeated AS (
+  SELECT doc_id, p FROM hashed WHERE k IN (SELECT k FROM hashed GROUP BY k HAVING count(*) > 1)
+), marked AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {LENGTH} THEN 0 ELSE 1 END AS new FROM repeated
+), numbered AS (
+  SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked
+), spans AS (
+  SELECT doc_id, min(p) AS s, max(p) + {LENGTH} AS e FROM numbered GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS b FROM spans
+  UNION ALL
+  SELECT t.doc_id, coalesce(max(e), 0), len(any_value(x)) // 2 FROM texts t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS left_over
+  FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed FROM spans GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(left_over)) AS kept_sha256
+FROM texts JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
