@@ -165,7 +165,7 @@ def test_header_names(spark, tmp_path):
         read_text_csv(spark, write(tmp_path / "none.csv", "\n"))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.text('ab",\n\r ', max_size=6), min_size=2, max_size=2), min_size=1, max_size=25), st.integers(20, 90))
 def test_records_are_those_of_the_grammar(spark, tmp_path, split_size, table, split):
     """Values as a CSV writer quotes them, in splits of any size."""
