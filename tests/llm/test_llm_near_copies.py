@@ -1,0 +1,69 @@
+"""The pipeline's near-copy stage against a brute-force Jaccard similarity of five-word shingles."""
+
+import random
+from collections import Counter
+
+import corpus_pipeline
+from llm_data import CLASHING, SCHEMA, documents, frame, text
+
+from panelwatch.llm import nearcopies, simhash
+
+
+def brute_kept(rows, size=5, similar=0.8):
+    """The least doc_id of each class, null last."""
+    sets = []
+    for _, t, *_ in rows:
+        ws = (t or "").encode().lower().split()
+        k = min(size, len(ws))
+        sets.append({b" ".join(ws[i : i + k]) for i in range(len(ws) - k + 1)} if ws else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if find(i) != find(j) and (a == b or (a and b and len(a & b) / len(a | b) >= similar)):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc, *_) in enumerate(rows):
+        least.setdefault(find(i), []).append((doc is None, doc))
+    return Counter(min(ids, key=lambda x: (x[0], x[1] or 0))[1] for ids in least.values())
+
+
+def near(seed):
+    """Documents with edits on both sides of the limit, a chain, and a line that all of them share."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(12):
+        base = [f"w{i}x{j}" for j in range(40 + 11 * i)]
+        for edits in range(6):
+            body = list(base)
+            for _ in range(edits):
+                body[r.randrange(len(body))] = f"e{len(rows)}x{r.random()}"
+            rows.append((1000 + len(rows), " ".join(body) + " the one line that stands below them all", "en", "a", 0))
+    chain = [f"c{j}" for j in range(120)]
+    rows += [(3000 + i, " ".join(chain[4 * i : 4 * i + 60]), "en", "a", 0) for i in range(16)]
+    rows += [(4000 + i, text(9, 300) + f" ends {i}", "en", "a", 0) for i in range(40)]
+    return rows
+
+
+def test_stage_keeps_one_of_each_class_of_near_copies(spark, tmp_path):
+    rows = documents() + near(3)
+    docs = frame(spark, rows, SCHEMA, tmp_path, CLASHING)
+    kept = corpus_pipeline.dedupe(spark, docs, None)
+    assert kept.columns == docs.columns
+    expected = brute_kept(rows)
+    assert Counter(r.doc_id for r in kept.collect()) == expected
+    assert sum(expected.values()) < simhash.representatives(docs).count()
+
+
+def test_sizes_limits_and_empty_table(spark, tmp_path):
+    rows = near(4) + [(1, "a b c", "en", "a", 0), (2, "A B  C", "en", "a", 0), (3, None, "en", "a", 0), (None, "", "en", "a", 0)]
+    docs = frame(spark, rows, SCHEMA, tmp_path)
+    for size, similar in ((3, 0.6), (5, 1.0)):
+        got = Counter(r.doc_id for r in nearcopies.representatives(docs, size, similar).collect())
+        assert got == brute_kept(rows, size, similar)
+    assert nearcopies.representatives(frame(spark, [], SCHEMA)).count() == 0
