@@ -3,10 +3,10 @@
 Words are maximal runs of letters, marks and digits, lower-cased; shingles have five words (an item with
 fewer words is one shingle), and their weight is how often they occur.
 
-1. Anchors. A window as similar to an item as asked for shares shingles with it, so a place where a
-   document's shingle is also an item's tells where a window of that item's size may begin. The shingle
-   table of the benchmark is looked up (broadcast if its row count is proven small, else joined with hot
-   keys split); all other places are dropped in the same stage, before anything moves.
+1. Places. A window as similar to an item as asked for holds so many of its shingles, at any place and in any
+   order. The shingle table of the benchmark is looked up (broadcast if its row count is proven small, else
+   joined with hot keys split); all other places are dropped in the same stage, before anything moves. For
+   each text and item, the places then tell all starts of stretches that hold enough of them.
 2. SimHash. Each window so placed is cut to the item's size and fingerprinted in 64 bits.
 3. Multi-index blocks. The 64 bits are cut into radius + 1 blocks. Fingerprints within the radius are
    equal in one block at least, so looking up (size, block, value) finds all items within the radius.
@@ -98,24 +98,46 @@ def similarity(one: Column, other: Column) -> Column:
     return shared / (F.size(one) + F.size(other) - shared)
 
 
-def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+def _placed(at: Column, needed: Column, length: Column, last: Column) -> Column:
+    """All starts from 0 to `last` of stretches of `length` shingles with `needed` or more of the places `at`."""
+    # The first place in a stretch is the i-th; then its needed-th is the last that has to lie in it.
+    def starts(i: Column) -> Column:
+        before = F.when(i > 0, F.get(at, i - 1) + 1).otherwise(0)
+        low = F.greatest(before, F.get(at, i + needed - 1) - length + 1)
+        high = F.least(F.get(at, i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    firsts = F.sequence(F.lit(0), F.size(at) - needed)
+    return F.when(F.size(at) >= needed, F.flatten(F.transform(firsts, starts))).otherwise(F.array().cast("array<int>"))
+
+
+def windows(docs: DataFrame, items: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """key (of the text), size, start, window: the item-sized windows that may be similar to an item."""
-    anchors = None
+    met = None
     sizes = [r[0] for r in items.select("k").distinct().collect()]  # at most SHINGLE numbers
     cut = docs.select("text", words(F.col("text")).alias("ws"))
     for k in sorted(sizes):
-        places = items.where(F.col("k") == k).select("size", F.posexplode(_hashes(F.col("ws"), k)).alias("at", "gram"))
+        grams = items.where(F.col("k") == k).select("size", "item_id", F.explode(_hashes(F.col("ws"), k)).alias("gram"))
         table = materialise(
-            places.distinct().groupBy("gram").agg(F.collect_set(F.struct("size", "at")).alias("places")), "item_shingles"
+            grams.distinct().groupBy("gram").agg(F.collect_set(F.struct("size", "item_id")).alias("items")), "item_shingles"
         )
-        grams = cut.select("text", "ws", F.posexplode(_hashes(F.col("ws"), k)).alias("pos", "gram"))
-        found = lookup(grams, table, ["gram"], small=small_lists(table, "places"), salt_by=["pos", "gram"])
-        anchors = found if anchors is None else anchors.unionByName(found)
-    place = anchors.select("text", "ws", "pos", F.explode("places").alias("p"))
-    size = F.col("p.size")
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("p.at"), F.size("ws") - size))
-    window = F.concat_ws(" ", F.slice(F.col("ws"), start + 1, size))
-    return place.select(F.md5("text").alias("key"), size.alias("size"), start.alias("start"), window.alias("window")).distinct()
+        places = cut.select(F.md5("text").alias("key"), F.size("ws").alias("n"), F.posexplode(_hashes(F.col("ws"), k)).alias("pos", "gram"))
+        found = lookup(places, table, ["gram"], small=small_lists(table, "items"), salt_by=["pos", "gram"])
+        found = found.select("key", "n", F.lit(k).alias("k"), "pos", F.explode("items").alias("i"))
+        met = found if met is None else met.unionByName(found)
+    by_item = met.groupBy("key", "n", "k", "i").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    # The shingles of the window, which is the whole text if that is shorter, and of the item.
+    length = F.least(F.col("i.size"), F.col("n")) - F.col("k") + 1
+    of_item = F.col("i.size") - F.col("k") + 1
+    needed = F.ceil(F.lit(similar / (1 + similar)) * (length + of_item) - F.lit(1e-6)).cast("int")
+    last = F.greatest(F.lit(0), F.col("n") - F.col("i.size"))
+    starts = by_item.select("key", F.col("i.size").alias("size"), F.explode(_placed(F.col("at"), F.greatest(F.lit(1), needed), length, last)).alias("start"))
+    placed = materialise(starts.groupBy("key").agg(F.collect_set(F.struct("size", "start")).alias("places")), "places")
+    texts = docs.select(F.md5("text").alias("key"), "text")
+    opened = lookup(texts, placed, ["key"], small=small_lists(placed, "places"))
+    place = opened.select("key", words(F.col("text")).alias("ws"), F.explode("places").alias("p"))
+    window = F.concat_ws(" ", F.slice(F.col("ws"), F.col("p.start") + 1, F.col("p.size")))
+    return place.select("key", "p.size", "p.start", window.alias("window")).distinct()
 
 
 def contaminated(
@@ -141,7 +163,7 @@ def contaminated(
         .groupBy("size", F.col("_b.block").alias("block"), F.col("_b.value").alias("value"))
         .agg(F.collect_list(F.struct("item_id", "item_fp")).alias("items"))
     )
-    placed = materialise(windows(docs, items), "windows")
+    placed = materialise(windows(docs, items, similar), "windows")
     printed = placed.withColumn("grams", shingles(F.split("window", " "))).withColumn("fp", simhash(F.col("grams")))
     probes = materialise(printed, "window_fingerprints").select(
         "key", "size", "start", "fp", "grams", _blocks(F.col("fp"), radius).alias("_b")
