@@ -69,11 +69,12 @@ def with_row_key(df: DataFrame, name: str) -> DataFrame:
 
     It is the row's place in its file, so a table that is no plain scan is written first. (An id
     counted in a task would change if a shuffle below it delivered its rows in another order.)
+    The file is named by its whole path, as base names repeat in the folders of a partitioned table.
     """
     try:
         meta = df.metadataColumn("_metadata")
-        return df.withColumn(name, F.struct(meta["file_name"].alias("file"), meta["row_index"].alias("row")))
+        return df.withColumn(name, F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")))
     except AnalysisException:
         df = materialise(df, "rows")
         meta = df.metadataColumn("_metadata")
-        return df.withColumn(name, F.struct(meta["file_name"].alias("file"), meta["row_index"].alias("row")))
+        return df.withColumn(name, F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")))
