@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwatch.llm import decontamination, language, mixing, nearcopies, sharding
+from panelwatch.llm import decontamination, language, mixing, sharding, simhash
 from panelwatch.session import materialise
 
 
@@ -20,9 +20,9 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: one document of each class of near copies stays, that with the least doc_id. Near copies
-    share 0.8 of their five-word shingles or more, more than fingerprints at 2 bits find."""
-    return nearcopies.representatives(docs)
+    """Operator 8, with its contract's shingles of three words and 2 bits: one document of each class stays,
+    that with the least doc_id."""
+    return simhash.representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
