@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwatch.llm import chat, decontamination, language, maxscore, mixing, secrets, sharding, simhash, substrings, urls
+from panelwatch.llm import (
+    chat,
+    decontamination,
+    language,
+    ledger,
+    maxscore,
+    mixing,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    urls,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -19,10 +32,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": simhash.op8_near_duplicates,
     "op9_secrets": secrets.op9_secrets,
     "op10_shard_documents": sharding.op10_shard_documents,
+    "op12_quality_rules": ledger.op12_quality_rules,
+    "op13_whiten": whitening.op13_whiten,
 }
 
 SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
     "op4_repeated_substrings": substrings.SQL,
     "op7_top_k": maxscore.SQL,
+    "op12_quality_rules": ledger.SQL,
 }

@@ -16,7 +16,7 @@ import __spark_entry__ as driver
 from panelwatch.llm import decontamination, mixing, queries, simhash
 
 SF_DIR = "/root/testdata/sf0.001"
-TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 COLUMNS = {
     "op1_mix_sources": "doc_id size source_size target taken",
     "op2_format_chats": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
@@ -28,6 +28,8 @@ COLUMNS = {
     "op8_near_duplicates": "doc_id fingerprint component_id",
     "op9_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10_shard_documents": "doc_id size text_crc32 law shard slot grown_shard",
+    "op12_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines failures",
+    "op13_whiten": "vec_id component n deviation whitened explained identity_error",
 }
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="driver tables are not there")
@@ -42,10 +44,12 @@ def test_all_are_registered():
 def test_query_returns_a_row_for_all_input(spark, name):
     df = queries.QUERIES[name](spark, SF_DIR)
     assert df.columns == COLUMNS[name].split()
-    table, key, more = {"op2": ("conversations", "conv_id", 1), "op3": ("pages", "page_id", 0)}.get(name[:3], ("documents", "doc_id", 0))
+    table, key, more = {
+        "op2": ("conversations", "conv_id", 1), "op3": ("pages", "page_id", 0), "op13": ("embeddings", "vec_id", 0)
+    }.get(name.split("_")[0], ("documents", "doc_id", 0))
     ids = spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key)
     expected = ids.distinct().count() + more if more else ids.count()
-    assert df.count() == expected
+    assert df.count() == expected * (4 if name == "op13_whiten" else 1)
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
