@@ -13,6 +13,7 @@ from panelwatch.llm import (
     ledger,
     maxscore,
     mixing,
+    prefixes,
     secrets,
     sharding,
     simhash,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": simhash.op8_near_duplicates,
     "op9_secrets": secrets.op9_secrets,
     "op10_shard_documents": sharding.op10_shard_documents,
+    "op11_prefix_trie": prefixes.op11_prefix_trie,
     "op12_quality_rules": ledger.op12_quality_rules,
     "op13_whiten": whitening.op13_whiten,
 }
@@ -40,5 +42,6 @@ SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
     "op4_repeated_substrings": substrings.SQL,
     "op7_top_k": maxscore.SQL,
+    "op11_prefix_trie": prefixes.SQL,
     "op12_quality_rules": ledger.SQL,
 }

@@ -28,6 +28,7 @@ COLUMNS = {
     "op8_near_duplicates": "doc_id fingerprint component_id",
     "op9_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10_shard_documents": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op12_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_lines failures",
     "op13_whiten": "vec_id component n deviation whitened explained identity_error",
 }
