@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelwatch.sources import pointer
 from panelwatch.sources.store import RawStore
-from panelwatch.sources.text_csv import read_text_csv
+from panelwatch.sources.text_csv import parse_text_csv
 
 REPORT = (
     "name string, disease string, rows bigint, cols int, source_url string, path string, error string,"
@@ -50,10 +50,13 @@ def _land_path(
     primary_error: str | None = None,
 ) -> tuple:
     version = pointer.new_version(at)
-    landed = with_lineage(read_text_csv(spark, path), path, at)
+    records, parsed = parse_text_csv(spark, path)
+    landed = with_lineage(records, path, at)
     target = store.add(landed, source.name, version)
-    store.snapshot(spark, source.name, version, copy=copy)
     rows = spark.read.parquet(target).count()
+    if rows != parsed:
+        raise RuntimeError(f"{parsed} records were parsed and {rows} landed")
+    store.snapshot(spark, source.name, version, copy=copy)
     return (source.name, source.disease, rows, len(landed.columns), path, target, None, primary_error)
 
 

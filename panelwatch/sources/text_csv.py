@@ -1,32 +1,34 @@
-"""CSV files as tables of strings, by the grammar of CSV and without loss.
+"""CSV files as tables of strings, parsed by Spark's own reader in one pass and without loss.
 
-A quote opens a quoted field only at the field's start; elsewhere it is a character. Within a quoted field
-two quotes stand for one, and line breaks and separators are text. Whatever follows the closing quote up
-to the separator belongs to the field.
+Within a quoted field two quotes stand for one, and line breaks and separators are text; elsewhere a quote is
+a character. A file is parsed by one task, many files by many. What the reader would let pass is checked
+behind it: records with too many fields, a quoted field that a file does not end, and headers.
 """
 
 from __future__ import annotations
 
-import csv
-from collections import Counter
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
-_BROKEN = "_corrupt_record"
-_FORMAT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-_BOM = "﻿"
-
-# The grammar. All repeats are possessive: a field can be read in one way only.
+_RAW = "_raw"
+_FORMAT = {
+    "header": False,
+    "multiLine": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _RAW,
+}
+
+# The grammar of a record's text. All repeats are possessive: a field can be read in one way only.
 _INNER = r'[^"]*+(?:""[^"]*+)*+'
 _FIELD = rf'(?:"{_INNER}"[^,]*+|[^",][^,]*+)'
-_OPENS = rf'(?:{_FIELD}?,)*+"{_INNER}\z'
-# Whether a line ends inside a quoted field, if it begins outside one, or inside.
-_FROM_OUTSIDE = rf"\A{_OPENS}"
-_FROM_INSIDE = rf'\A{_INNER}(?:\z|"[^,]*+,{_OPENS})'
+_OPENS = rf'\A(?:{_FIELD}?,)*+"{_INNER}\z'
 
 
 def field_count(record: Column) -> Column:
@@ -34,19 +36,74 @@ def field_count(record: Column) -> Column:
     return F.length(F.regexp_replace(record, _FIELD, "")) + 1
 
 
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
+def _read(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """All records but blank lines as c0, c1, … and, unless a record has just `n` fields, its text."""
+    schema = ", ".join([*[f"c{i} string" for i in range(n)], f"{_RAW} string"])
+    records = spark.read.schema(schema).options(**_FORMAT).csv(path)
+    text = F.col(_RAW) if n > 1 else F.coalesce(_RAW, "c0")
+    return records.where(F.coalesce(F.rtrim(text, F.lit("\r\n")) != "", F.lit(True)))
+
+
+def _parsed(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """`file, place, fields, fault` of every record, written, and how many fields a record has.
+
+    The reader is told of one field more than there are, so that it hands over the text of every record;
+    the checks need it. Places rise within a file.
+    """
+    first = _read(spark, path, 1).select("c0", field_count(F.col(_RAW))).first()
+    if first is None:
+        raise ValueError(f"no header in {path}")
+    n = first[1] or 1
+    raw = F.col(_RAW)
+    separators = F.length(raw) - F.length(F.replace(raw, F.lit(","), F.lit("")))
+    # With a text there are more or fewer fields than n + 1; without one there are just as many.
+    long = raw.isNull() | ((separators >= n) & (field_count(raw) > n))
+    opens = F.contains(raw, F.lit('"')) & raw.rlike(_OPENS)
+    text = F.coalesce(raw, F.array_join(F.array(*[f"c{i}" for i in range(n + 1)]), ",", ""))
+    fault = F.when(opens, F.concat(F.lit("a quoted field does not end in "), F.col("file"))).when(
+        long, F.concat(F.lit(f"more than {n} fields: "), text)
+    )
+    fields = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(n)])
+    records = _read(spark, path, n + 1).withColumn("file", F.col("_metadata.file_path"))
+    checked = records.select("file", F.monotonically_increasing_id().alias("place"), fields.alias("fields"), fault.alias("fault"))
+    return materialise(checked, "csv_records"), n
 
 
-def _header_names(record: str) -> list[str]:
+def _names(fields: Column) -> Column:
     """The names in a header; a missing one is called by its place, a repeated one by its number."""
-    seen: Counter[str] = Counter()
-    names = []
-    for place, name in enumerate(next(csv.reader([record], strict=False))):
-        name = name or f"_c{place}"
-        names.append(f"{name}.{seen[name]}" if seen[name] else name)
-        seen[name] += 1
-    return names
+    told = F.transform(fields, lambda name, i: F.when(name == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(name))
+
+    def numbered(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(told, F.lit(1), i), lambda other: other == name))
+        return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+
+    return F.transform(told, numbered)
+
+
+def parse_text_csv(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """`read_text_csv`, and the number of records that were parsed."""
+    records, n = _parsed(spark, path)
+    firsts = records.groupBy("file").agg(F.min("place").alias("place"))
+    # One row per file.
+    heads = materialise(
+        lookup(records, materialise(firsts.select("place"), "header_places"), ["place"])
+        .select("file", F.col("place").alias("head"), _names(F.col("fields")).alias("names"), "fault"),
+        "headers",
+    )
+    names = heads.orderBy("file").first()["names"]
+    expected = F.array(*map(F.lit, names))
+    others = heads.where((F.array_sort("names") != F.array_sort(expected)) | F.startswith("fault", F.lit("more than")))
+    other = others.orderBy("file").first()
+    if other is not None:
+        raise ValueError(f"headers differ below {path}: {names} and {other['fault'] or other['names']}")
+
+    places = F.transform(expected, lambda name: (F.array_position("names", name) - 1).cast("int"))
+    told = lookup(records, heads.select("file", "head", places.alias("places")), ["file"], salt_by=["place"])
+    # A filter, so it holds whichever columns are read.
+    whole = F.coalesce(F.when(F.col("fault").isNotNull(), F.raise_error(F.col("fault")).cast("boolean")), F.lit(True))
+    rows = told.where((F.col("place") > F.col("head")) | F.startswith("fault", F.lit("a quoted"))).where(whole)
+    values = [F.get("fields", F.get("places", F.lit(i))).alias(name) for i, name in enumerate(names)]
+    return rows.select(*values), records.count() - heads.count()
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -55,124 +112,8 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     A byte order mark is dropped and undecodable bytes are replaced. Rows shorter than the header are
     filled with ''. The job fails on a longer row, and on a quoted field that a file does not end. Every
     file has a header of its own; files with the same names in another order are aligned by name, and
-    other names are an error. Files are split among tasks, also where quoted fields hold line breaks.
-    """
-    records = materialise(csv_records(spark, path), "csv_records")
-    headers = records.where("is_header").select("file", F.col("record").alias("header"))
-    distinct = [r[0] for r in headers.select("header").distinct().limit(1000).collect()]
-    if not distinct:
-        raise ValueError(f"no header in {path}")
-    orders = {record: _header_names(record) for record in sorted(distinct)}
-    names = next(iter(orders.values()))
-    for other in orders.values():
-        if sorted(other) != sorted(names):
-            raise ValueError(f"headers differ below {path}: {names} and {other}")
-
-    rows = records.where("NOT is_header").select("file", "record")
-    n = len(names)
-    schema = ", ".join([*[f"c{i} string" for i in range(n)], f"{_BROKEN} string"])
-    parsed = rows.withColumn("row", F.from_csv(F.col("record"), schema, _FORMAT))
-    too_long = F.col(f"row.{_BROKEN}").isNotNull() & (field_count(F.col("record")) > n)
-    failure = F.raise_error(F.concat(F.lit(f"more than {n} fields: "), F.col("record"))).cast("boolean")
-    # A filter, so it holds whichever columns are read.
-    checked = parsed.where(F.coalesce(F.when(too_long, failure), F.lit(True)))
-    if len(set(map(tuple, orders.values()))) == 1:
-        places = {name: F.lit(i) for i, name in enumerate(names)}
-    else:
-        kinds = list(orders)
-        kind = F.coalesce(*[F.when(F.col("header") == h, F.lit(k)) for k, h in enumerate(kinds)])
-        checked = lookup(checked, headers.select("file", kind.alias("kind")), ["file"])
-        places = {
-            name: F.get(F.array(*[F.lit(orders[h].index(name)) for h in kinds]), F.col("kind")) for name in names
-        }
-    fields = F.array(*[F.coalesce(F.col(f"row.c{i}"), F.lit("")) for i in range(n)])
-    values = checked.withColumn("fields", fields)
-    return values.select(*[F.get("fields", place).alias(name) for name, place in places.items()])
-
-
-def _after(start: Column, frame) -> Column:
-    """The state (0 outside, 1 inside a quoted field) that rows of line maps lead to from `start`.
-
-    A map, given by where it leads from outside and from inside, is constant, a flip or the identity. So
-    only the last constant of the frame counts, and the parity of the flips behind it.
-    """
-    last = F.last(F.when(F.col("outside") == F.col("inside"), F.struct("outside", "flips")), True).over(frame)
-    flips = F.coalesce(F.last("flips").over(frame), F.lit(0))
-    return (F.when(last.isNull(), start + flips).otherwise(last["outside"] + flips - last["flips"])) % 2
-
-
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """`file, record, is_header`: the records of all files, blank lines left out.
-
-    The lines of each split are followed from both possible states; the splits of a file then pass the
-    state on, and the record that is unfinished. Only lines of records with line breaks are put together,
-    and a group is one such record.
+    other names are an error, however many headers there are. Names are in the order of the file whose path
+    is least. In a file whose first line ends with a carriage return and a line feed, that pair within quotes is read
+    as a line feed.
     """
-    meta = F.col("_metadata")
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.col("value").alias("line"),
-        meta["file_path"].alias("file"),
-        meta["file_block_start"].alias("split"),
-        # The place in the split, read straight from the file: the same if a task runs again.
-        F.monotonically_increasing_id().alias("place"),
-    )
-    in_split = Window.partitionBy("file", "split").orderBy("place")
-    to_here, before = (
-        in_split.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1)
-    )
-    marked = (F.col("split") == 0) & (F.row_number().over(in_split) == 1) & F.startswith("line", F.lit(_BOM))
-    lines = lines.withColumn("line", F.when(marked, F.substr("line", F.lit(2))).otherwise(F.col("line")))
-    mapped = lines.withColumns(
-        {"outside": F.col("line").rlike(_FROM_OUTSIDE).cast("int"), "inside": F.col("line").rlike(_FROM_INSIDE).cast("int")}
-    )
-    flip = (F.col("outside") > F.col("inside")).cast("int")
-    followed = mapped.withColumn("flips", F.sum(flip).over(to_here))
-    blank = F.rtrim(F.col("line"), F.lit("\r")) == ""
-    states = {f"{at}{s}": _after(F.lit(s), frame) for s in (0, 1) for at, frame in (("before", before), ("after", to_here))}
-    followed = followed.withColumns(states)
-    starts = {s: (F.col(f"before{s}") == 0) & ~blank for s in (0, 1)}
-
-    splits = followed.groupBy("file", "split").agg(
-        F.max_by("after0", "place").alias("outside"),
-        F.max_by("after1", "place").alias("inside"),
-        *[F.count_if(starts[s]).alias(f"records{s}") for s in (0, 1)],
-    )
-    by_file = Window.partitionBy("file")
-    in_file = by_file.orderBy("split")
-    to_split, earlier = (in_file.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, -1))
-    flips = F.sum((F.col("outside") > F.col("inside")).cast("int")).over(to_split)
-    opened = splits.withColumn("flips", flips).withColumns(
-        {"open": _after(F.lit(0), earlier), "end": _after(F.lit(0), to_split)}
-    )
-    opened = opened.withColumn("records", F.when(F.col("open") == 0, F.col("records0")).otherwise(F.col("records1")))
-    last_start = F.when(F.col("records") > 0, F.struct(F.col("split"), F.col("records").alias("number")))
-    carried = opened.select(
-        "file",
-        "split",
-        "open",
-        F.last(last_start, True).over(earlier).alias("carried"),
-        F.min(F.when(F.col("records") > 0, F.col("split"))).over(by_file).alias("header_split"),
-        F.max_by("end", "split").over(by_file).alias("unended"),
-    )
-
-    joined = followed.join(carried, ["file", "split"])
-    inside = F.when(F.col("open") == 0, F.col("before0")).otherwise(F.col("before1"))
-    ends = F.when(F.col("open") == 0, F.col("after0")).otherwise(F.col("after1"))
-    joined = joined.withColumns({"begins": inside == 0, "ends": ends == 0}).where(~(F.col("begins") & blank))
-    number = F.sum(F.col("begins").cast("int")).over(to_here)
-    placed = joined.withColumn("number", number).withColumn(
-        "record_id",
-        F.when(F.col("number") > 0, F.struct("split", "number")).otherwise(F.col("carried")),
-    )
-    is_header = (F.col("record_id.split") == F.col("header_split")) & (F.col("record_id.number") == 1)
-    whole = placed.where("begins AND ends").select("file", F.col("line").alias("record"), is_header.alias("is_header"))
-    pieces = F.array_sort(F.collect_list(F.struct("split", "place", "line")))
-    # A field that doesn't end leaves lines that don't, so the check sits here, before any are gathered.
-    failure = F.raise_error(F.concat(F.lit("a quoted field does not end in "), F.col("file"))).cast("boolean")
-    broken = (
-        placed.where(~(F.col("begins") & F.col("ends")) & F.when(F.col("unended") == 1, failure).otherwise(F.lit(True)))
-        .groupBy("file", "record_id", "header_split")
-        .agg(pieces.alias("pieces"))
-        .select("file", F.array_join(F.col("pieces.line"), "\n").alias("record"), is_header.alias("is_header"))
-    )
-    return whole.unionAll(broken).withColumn("record", F.rtrim("record", F.lit("\r")))
+    return parse_text_csv(spark, path)[0]

@@ -1,6 +1,8 @@
 import csv
 import io
+import itertools
 import json
+from collections import Counter
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -179,6 +181,56 @@ def test_records_are_those_of_the_grammar(spark, tmp_path, split_size, table, sp
     assert sorted(got) == sorted(expected)
 
 
+def test_headers_are_aligned_however_many_there_are(spark, tmp_path):
+    """1,100 files with seven names in as many orders, one of them behind all others with another name."""
+    names = list("abcdefg")
+    orders = itertools.islice(itertools.permutations(names), 1100)
+    for i, order in enumerate(orders):
+        write(tmp_path / "many" / f"{i:04}.csv", ",".join(order) + "\n" + ",".join(f"{name}{i}" for name in order) + "\n")
+    df = read_text_csv(spark, str(tmp_path / "many")).select(*names)
+    assert Counter(map(tuple, df.collect())) == Counter(tuple(f"{name}{i}" for name in names) for i in range(1100))
+    write(tmp_path / "many" / "1100.csv", "a,b,c,d,e,f,x\n1,2,3,4,5,6,7\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_text_csv(spark, str(tmp_path / "many"))
+
+
+def test_headers_of_other_widths_are_errors(spark, tmp_path):
+    write(tmp_path / "many" / "0.csv", "a,b\n1,2\n")
+    for other in ("a\n1\n", "a,b,c\n1,2,3\n", "a,b,c,\n1,2,3\n"):
+        write(tmp_path / "many" / "1.csv", other)
+        with pytest.raises(ValueError, match="headers differ"):
+            read_text_csv(spark, str(tmp_path / "many"))
+
+
+def test_long_rows_whose_last_fields_are_empty_fail(spark, tmp_path):
+    for i, line in enumerate(("1,2,", "1,2,,", "1,2,,5", ",,", '"1,2",3,""')):
+        with pytest.raises(PySparkException, match="more than 2 fields"):
+            read_text_csv(spark, write(tmp_path / f"{i}.csv", f"a,b\n{line}\n")).collect()
+    whole = write(tmp_path / "whole.csv", 'a,b\n"1,2","3,4,"\n",",\n')
+    assert rows(read_text_csv(spark, whole), "a") == [(",", ""), ("1,2", "3,4,")]
+
+
+def test_an_open_quote_in_the_last_line_fails(spark, tmp_path):
+    for i, line in enumerate(('1,"x', '"1', '1,"x""', '1,2\n3,"\n', '1,"a,b\n2,c\n')):
+        with pytest.raises(PySparkException, match="does not end"):
+            read_text_csv(spark, write(tmp_path / f"{i}.csv", f"a,b\n{line}")).collect()
+
+
+def test_one_column(spark, tmp_path):
+    path = write(tmp_path / "one.csv", 'a\r\n1\r\n\r\n""\r\n"x\r\ny"\r\n')
+    assert rows(read_text_csv(spark, path), "a") == [("",), ("1",), ("x\ny",)]
+
+
+def test_a_record_that_did_not_land_is_noticed(spark, tmp_path, monkeypatch):
+    path = write(tmp_path / "a.csv", "a\n1\n2\n")
+    store = RawStore(str(tmp_path / "store"))
+    add = RawStore.add
+    monkeypatch.setattr(RawStore, "add", lambda self, df, *args: add(self, df.where("a = '1'"), *args))
+    assert "2 records were parsed and 1 landed" in ingest(spark, store, [Source("d", "x", path)], AT).first()["error"]
+    with pytest.raises(FileNotFoundError):
+        RawStore(str(tmp_path / "other")).latest(spark, "d")
+
+
 def test_many_files_have_their_header_each(spark, tmp_path):
     for i in range(3):
         write(tmp_path / "many" / f"{i}.csv", f"a,b\n{i},x\n")
