@@ -294,6 +294,19 @@ def _landed() -> str:
     )
 
 
+def _report() -> str:
+    """Every check, the rows of every table and the sum of every disease, as text."""
+    constraints = "\nUNION ALL ".join((_unique(), _not_null(), _references()))
+    rows = "\nUNION ALL ".join(f"SELECT 'rows', '{t}', count(*)::VARCHAR FROM {t}" for t in DIMENSIONS + FACTS)
+    return f"""SELECT 'check' AS section, "check" AS name, CASE WHEN ok THEN 'true' ELSE 'false' END AS value FROM (
+{_landed()}
+UNION ALL SELECT 'no negative visit_count', count(*) = 0 FROM fact_nhi_visits WHERE visit_count < 0
+UNION ALL SELECT 'some cases geocoded', count(centroid_x) > 0 FROM fact_dengue_cases
+UNION ALL SELECT "constraint", violations = 0 FROM ({constraints}))
+UNION ALL {rows}
+UNION ALL SELECT 'disease', disease_name, sum(metric_value)::BIGINT::VARCHAR FROM agg_weekly GROUP BY disease_name"""
+
+
 RAW_NAMES = {
     "flu": "yr AS 年, wk AS 週, kind AS 就診類別, age AS 年齡別, county AS 縣市, county_code AS 縣市別代碼, "
     "n AS 類流感健保就診人次, n_all AS 健保就診總人次",
@@ -609,6 +622,13 @@ FROM stg_dengue LEFT JOIN county_map ON county_name = res_county GROUP BY 1, 2""
   count(*) FILTER (WHERE value IS NULL OR value = '') AS n_blank, count(*) AS n_rows
 FROM ({_profile('src_dengue', DENGUE_PROFILE)}) GROUP BY 1""",
         ),
+        "dengue_extent_sketched": on(
+            (SOURCES,),
+            f"""SELECT column_name, count(DISTINCT value) AS n_distinct, true AS within_bound
+FROM ({_profile('src_dengue', {**DENGUE_PROFILE, "發病日": "onset"})}) GROUP BY 1""",
+        ),
+        "quality_report": on(w, _report()),
+        "copied_snapshot": "SELECT c_custkey::VARCHAR AS c_custkey, c_name, true AS in_copy FROM customer",
         "onset_lengths": on((SOURCES,), "SELECT length(onset)::INTEGER AS len, count(*) AS n_rows FROM src_dengue GROUP BY 1"),
         "shortest_onsets": on(
             (SOURCES,),

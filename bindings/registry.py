@@ -24,6 +24,7 @@ from panelwatch.plans.schema import FACTS, columns
 from panelwatch.plans.warehouse import build, staged_tables
 from panelwatch.session import materialise, scratch_path
 from panelwatch.sources.ingest import DATASETS, Source, exit_code, ingest
+from panelwatch.sources.report import read_json, write_json
 from panelwatch.sources.store import RawStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -325,6 +326,35 @@ def dengue_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.extent(bound.landed(spark, sf_dir).dengue, names)
 
 
+def dengue_extent_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values per column, exactly, and whether the estimate of merged sketches per year keeps its bound."""
+    s = staging
+    names = [s.GENDER, s.CASE_IMPORTED, s.AGE, s.HOME_COUNTY, s.SEROTYPE, s.CENTROID_X, s.CENTROID_Y, s.ONSET_DAY]
+    cases = bound.landed(spark, sf_dir).dengue
+    years = F.substring(s.ONSET_DAY, 1, 4).alias("year")
+    stored = materialise(profile.sketches(cases.select("*", years), names, ["year"]), "sketches")
+    told = lookup(profile.extent(cases, names), profile.merged_estimates(stored, names), ["column_name"], small=True)
+    error = F.abs(F.col("estimate") - F.col("n_distinct"))
+    kept = error <= F.lit(profile.estimate_bound()) * F.col("n_distinct")
+    return told.select("column_name", "n_distinct", kept.alias("within_bound"))
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on a build, written as JSON and read again."""
+    path = scratch_path(spark, "quality_report")
+    staged = staged_tables(bound.landed(spark, sf_dir))
+    write_json(quality.quality_report(staged, bound.tables(spark, sf_dir)), path)
+    return read_json(spark, path, "section string, name string, value string")
+
+
+def copied_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' snapshot, in files of its own, after a newer version has come that is no snapshot."""
+    store = _customer_store(spark, sf_dir)
+    store.snapshot(spark, "customers", "v1", copy=True)
+    own = F.contains(F.col("_metadata.file_path"), F.lit("/snapshot/customers/v1/"))
+    return store.latest(spark, "customers").select("c_custkey", "c_name", own.alias("in_copy"))
+
+
 def onset_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.length_histogram(bound.landed(spark, sf_dir).dengue, staging.ONSET_DAY)
 
@@ -424,6 +454,9 @@ QUERIES: dict[str, Query] = {
     "flu_values": flu_values,
     "covid_values": covid_values,
     "dengue_extent": dengue_extent,
+    "dengue_extent_sketched": dengue_extent_sketched,
+    "quality_report": quality_report,
+    "copied_snapshot": copied_snapshot,
     "onset_lengths": onset_lengths,
     "shortest_onsets": shortest_onsets,
     "county_name_variants": county_name_variants,

@@ -10,6 +10,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwatch.operators.lookup import fits_broadcast
+from panelwatch.session import materialise
+
 WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -42,11 +45,49 @@ def _for_each(names: Sequence[str], found: DataFrame, number: str) -> DataFrame:
     return joined.select("constraint", F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"))
 
 
-def duplicate_keys(keys: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
-    """Key values that occur more than once, for `(constraint, table, key columns)`.
+Key = tuple[str, DataFrame, Sequence[str]]
+
+
+def duplicate_keys(keys: Sequence[Key]) -> DataFrame:
+    """Key values that occur more than once, for `(constraint, table, key columns)`. NULL counts as a value.
+
+    A key of one whole number is a bit in a bitmap (`repeated_numbers`), all others are counted one by one.
+    """
+    numbers = [k for k in keys if len(k[2]) == 1 and dict(k[1].dtypes)[k[2][0]] in WHOLE]
+    others = [k for k in keys if k not in numbers]
+    parts = [*([repeated_numbers(numbers)] if numbers else []), *([repeated_values(others)] if others else [])]
+    return stack(parts)
+
+
+def repeated_numbers(keys: Sequence[Key]) -> DataFrame:
+    """`duplicate_keys` for keys of one whole number each.
+
+    Each task makes bitmaps of 32,768 neighbouring numbers, and only these are shuffled: a key is a bit
+    there, however wide or many its rows are. A bucket with as many rows as bits has no repeated number. Only
+    in the others, which are none as a rule, are the numbers themselves counted.
+    """
+    stacked = stack([df.select(F.lit(i).alias("_number"), F.col(c[0]).cast("bigint").alias("_key")) for i, (_, df, c) in enumerate(keys)])
+    bucketed = stacked.withColumn("_bucket", F.bitmap_bucket_number("_key"))
+    buckets = bucketed.groupBy("_number", "_bucket").agg(
+        F.count("*").alias("_n"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_key"))).alias("_bits")
+    )
+    crowded = materialise(buckets.where((F.col("_n") > F.col("_bits")) & (F.col("_n") > 1)).select("_number", "_bucket"), "crowded")
+    names = [name for name, _, _ in keys]
+    if crowded.isEmpty():
+        return _for_each(names, crowded.select("_number", F.lit(0).cast("bigint").alias("violations")), "_number")
+    # NULLs are in a bucket of their own.
+    some = F.broadcast(crowded) if fits_broadcast(crowded) else crowded
+    same = [bucketed["_number"] == crowded["_number"], bucketed["_bucket"].eqNullSafe(crowded["_bucket"])]
+    per_key = bucketed.join(some, same, "left_semi").groupBy("_number", "_key").agg(F.count("*").alias("_n"))
+    found = per_key.groupBy("_number").agg(F.count_if(F.col("_n") > 1).alias("violations"))
+    return _for_each(names, found, "_number")
+
+
+def repeated_values(keys: Sequence[Key]) -> DataFrame:
+    """`duplicate_keys` for keys of any columns.
 
     All keys are counted in one shuffle, under numbers instead of names: whole numbers in columns
-    of their own type and all else as text. NULL counts as a value.
+    of their own type and all else as text.
     """
 
     def split(df: DataFrame, columns: Sequence[str]) -> tuple[list[Column], list[Column]]:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from panelwatch.functions.clean import is_blank
 
+LG_K = 14
+
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`column_name, value, n_rows`: the distinct values of several columns."""
@@ -34,6 +36,29 @@ def extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), lg_k: int = LG_K) -> DataFrame:
+    """One row per group of `by` with a sketch of the distinct texts of each column, under the column's name.
+
+    A sketch has at most 2 ** `lg_k` bytes whatever it counts, so what is shuffled is a row of sketches per
+    group and task, and no values. Sketches of groups, partitions or days can be stored and merged later.
+    """
+    # A sketch passes over the empty text, so every text is given a mark.
+    marked = [F.concat(F.lit("="), F.col(c).cast("string")) for c in columns]
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(m, F.lit(lg_k)).alias(c) for m, c in zip(marked, columns)])
+
+
+def merged_estimates(stored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`column_name, estimate`: distinct values over all rows of sketches, merged."""
+    counts = stored.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("estimate")) for c in columns])
+    return counts.select(F.inline(cells))
+
+
+def estimate_bound(lg_k: int = LG_K, deviations: float = 4.0) -> float:
+    """The relative error that an estimate exceeds with the probability of so many standard deviations."""
+    return deviations * 1.04 / 2 ** (lg_k / 2)
+
+
 def length_histogram(df: DataFrame, column: str) -> DataFrame:
     """`len, n_rows`: lengths in characters."""
     return df.groupBy(F.length(column).alias("len")).agg(F.count("*").alias("n_rows"))

@@ -86,7 +86,12 @@ def _with_iso_week(panel: DataFrame) -> DataFrame:
 
 
 def weekly_dense(tables: Tables, cluster_by: Sequence[str] = tuple(WEEKLY_LINE)) -> DataFrame:
-    """Every known county in every week its disease spans."""
+    """Every known county in every week its disease spans; the written layer, if the build has one."""
+    return tables["weekly_dense"] if "weekly_dense" in tables else filled_weeks(tables, cluster_by)
+
+
+def filled_weeks(tables: Tables, cluster_by: Sequence[str] = tuple(WEEKLY_LINE)) -> DataFrame:
+    """`weekly_dense`, filled from the sums."""
     dense = densify(
         tables["agg_weekly"],
         known_counties(tables["dim_geography"]),
@@ -152,7 +157,13 @@ def monthly_sparse(tables: Tables) -> DataFrame:
 
 
 def monthly_dense(tables: Tables, cluster_by: Sequence[str] = ("county_name",)) -> DataFrame:
-    """Every known county in every month from the first to the last observed one."""
+    """Every known county in every month from the first to the last observed one; the written layer, if
+    the build has one."""
+    return tables["monthly_dense"] if "monthly_dense" in tables else filled_months(tables, cluster_by)
+
+
+def filled_months(tables: Tables, cluster_by: Sequence[str] = ("county_name",)) -> DataFrame:
+    """`monthly_dense`, filled from the sums."""
     dense = densify(
         tables["agg_monthly"],
         known_counties(tables["dim_geography"]),

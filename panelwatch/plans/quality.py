@@ -85,6 +85,17 @@ def build_report(staged: Tables, tables: Tables) -> DataFrame:
     return checks.stack([report() for report in build_reports(staged, tables).values()])
 
 
+def quality_report(staged: Tables, tables: Tables) -> DataFrame:
+    """`section, name, value` as text: every check of a build, the rows of every table, and what each disease sums up to."""
+    checked = build_report(staged, tables).select(
+        F.lit("check").alias("section"), F.col("check").alias("name"), F.col("ok").cast("string").alias("value")
+    )
+    rows = row_counts(tables).select(F.lit("rows").alias("section"), F.col("table_name").alias("name"), F.col("n_rows").cast("string").alias("value"))
+    sums = tables["agg_weekly"].groupBy("disease_name").agg(F.sum("metric_value").alias("n"))
+    diseases = sums.select(F.lit("disease").alias("section"), F.col("disease_name").alias("name"), F.col("n").cast("string").alias("value"))
+    return checks.stack([checked, rows, diseases])
+
+
 def row_counts(tables: Tables, names=DIMENSIONS + FACTS) -> DataFrame:
     return checks.stack(
         [tables[t].agg(F.lit(t).alias("table_name"), F.count("*").alias("n_rows")) for t in names]

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwatch.operators.lookup import BROADCAST_ROWS, fits_broadcast
-from panelwatch.plans import analytics, dimensions, facts, quality, staging
+from panelwatch.plans import analytics, dimensions, facts, layers, quality, staging
 from panelwatch.plans.dimensions import RawTables
 from panelwatch.plans.schema import CALENDAR, PARTITIONED_BY, TABLES, columns
 from panelwatch.session import materialise, run_together
 from panelwatch.sources import pointer
+from panelwatch.sources.claims import holding
 from panelwatch.sources.ingest import DATASETS
 from panelwatch.sources.store import RawStore
 
@@ -112,6 +113,7 @@ def build(
     if failed:
         raise QualityError(", ".join(failed))
     tables |= {name: done[name] for name in ("agg_weekly", "agg_monthly")}
+    tables |= run_together({name: partial(layers.write_layer, tables, path, name) for name in layers.LAYERS})
     pointer.publish(spark, _log(root), WAREHOUSE, version, path)
     return tables
 
@@ -130,7 +132,7 @@ def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame] | Non
     path = pointer.current(spark, _log(root), WAREHOUSE)
     if path is None:
         return None
-    return {name: read_table(spark, path, name) for name in TABLES}
+    return {name: read_table(spark, path, name) for name in TABLES} | layers.read_layers(spark, path)
 
 
 def ensure(
@@ -139,8 +141,16 @@ def ensure(
     raw: Callable[[], RawTables],
     calendar: tuple[str, str] = CALENDAR,
 ) -> dict[str, DataFrame]:
-    """Open the warehouse, or build it first if it is not there."""
-    return open_warehouse(spark, root) or build(raw(), root, calendar)
+    """Open the warehouse, or build it first if it is not there.
+
+    Of several callers that find none, in one process or many, one builds and the others wait for it. If its
+    build fails, the next one tries.
+    """
+    there = open_warehouse(spark, root)
+    if there is None:
+        with holding(spark, f"{root.rstrip('/')}/building"):
+            there = open_warehouse(spark, root) or build(raw(), root, calendar)
+    return there
 
 
 def raw_tables(spark: SparkSession, store: RawStore) -> RawTables:

@@ -78,9 +78,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run_together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
-    """Submit independent jobs at once, so that the tail of one does not idle the cluster.
+def run_together(jobs: Mapping[str, Callable[[], T]], at_once: int | None = None) -> dict[str, T]:
+    """Submit independent jobs at once, or so many of them, so that the tail of one does not idle the cluster.
     The first failure is raised after all have ended."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), at_once or len(jobs)))) as pool:
         running = {name: pool.submit(job) for name, job in jobs.items()}
     return {name: job.result() for name, job in running.items()}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -30,6 +33,42 @@ def stamp(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
     return tuple(sorted(entries))
 
 
+def create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless there is one; whether this call created it. Of several callers one does."""
+    files, place = _at(spark, path)
+    files.mkdirs(place.getParent())
+    if files.getUri().getScheme() == "file":
+        # The local file system of Hadoop looks first and creates then.
+        return spark._jvm.java.io.File(place.toUri().getPath()).createNewFile()
+    try:
+        files.create(place, False).close()
+    except Py4JJavaError as failure:
+        if not files.exists(place):
+            raise failure
+        return False
+    return True
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Set a file's time of change to now."""
+    files, place = _at(spark, path)
+    files.setTimes(place, int(time.time() * 1000), -1)
+
+
+def age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file's last change, or None if there is none."""
+    files, place = _at(spark, path)
+    if not files.exists(place):
+        return None
+    return time.time() - files.getFileStatus(place).getModificationTime() / 1000
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete one file, if it is there."""
+    files, place = _at(spark, path)
+    files.delete(place, False)
+
+
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Delete a folder when the session's process ends."""
     files, place = _at(spark, path)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A report as it was written."""
+    return spark.read.schema(schema).json(path)
 
 
 def write_json(report: DataFrame, path: str) -> None:

@@ -1,0 +1,244 @@
+"""Written layers, claims, logs that many write, bitmaps of keys, sketches, JSON reports."""
+
+import json
+import time
+from collections import Counter
+from datetime import datetime, timezone
+from threading import Thread
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import rows
+from panelwatch.operators import checks, profile
+from panelwatch.plans import analytics, layers, warehouse
+from panelwatch.session import run_together
+from panelwatch.sources import claims, files, pointer, store
+from panelwatch.sources.report import read_json, write_json
+from panelwatch.sources.store import RawStore
+
+WEEK = "disease_code string, disease_name string, county_name string, iso_year int, iso_week int, week_start_date date"
+SPARSE = f"{WEEK}, metric_value bigint, denominator bigint"
+
+
+@pytest.fixture(scope="module")
+def panel(spark):
+    """Sums of two lines, and the counties."""
+    monday = lambda k: F.date_add(F.lit("2020-01-06").cast("date"), 7 * k)
+    sparse = spark.range(40).select(
+        F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("disease_code"),
+        F.when(F.col("id") % 2 == 0, "名").otherwise("b's").alias("disease_name"),
+        F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("county_name"),
+        monday(F.col("id").cast("int")).alias("week_start_date"),
+        (F.col("id") * 3).alias("metric_value"),
+        F.lit(7).cast("bigint").alias("denominator"),
+    )
+    sparse = analytics._with_iso_week(sparse).select(*analytics.WEEKLY_KEYS, "metric_value", "denominator")
+    geography = spark.createDataFrame([("county", f"c{i}") for i in range(4)], "geo_level string, county_name string")
+    return {"agg_weekly": sparse, "dim_geography": geography}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_trends_read_a_layer_without_a_shuffle(spark, panel, tmp_path):
+    written = {**panel, "weekly_dense": layers.write_layer(panel, str(tmp_path), "weekly_dense", 3)}
+    assert "Exchange" not in plan_of(analytics.weekly_trend(written))
+    assert "Exchange" in plan_of(analytics.weekly_trend(panel))
+    assert len(list((tmp_path / "weekly_dense-buckets-3").glob("part-*.parquet"))) <= 3
+    for view in (analytics.weekly_dense, analytics.weekly_trend, analytics.weekly_rank):
+        lazy, read = view(panel), view(written)
+        assert lazy.dtypes == read.dtypes and Counter(lazy.collect()) == Counter(read.collect())
+
+
+def test_a_layer_is_found_by_sessions_that_did_not_write_it(spark, panel, tmp_path):
+    layers.write_layer(panel, str(tmp_path), "weekly_dense", 2)
+    other = spark.newSession()
+    spark.sql(f"DROP TABLE {layers.declared_name(str(tmp_path), 'weekly_dense', 2)}")
+    found = layers.read_layers(other, str(tmp_path))
+    assert set(found) == {"weekly_dense"}
+    trend = analytics.weekly_trend({**panel, **found})
+    assert "Exchange" not in plan_of(trend)
+    assert Counter(trend.collect()) == Counter(analytics.weekly_trend(panel).collect())
+    assert layers.read_layers(spark, str(tmp_path / "none")) == {}
+
+
+def test_an_empty_layer(spark, panel, tmp_path):
+    empty = {**panel, "agg_weekly": panel["agg_weekly"].where("false")}
+    assert layers.write_layer(empty, str(tmp_path), "weekly_dense", 2).count() == 0
+
+
+# Claims
+
+
+def test_one_of_many_creates_a_file(spark, tmp_path):
+    path = str(tmp_path / "some" / "claim")
+    made = run_together({i: lambda: files.create(spark, path) for i in range(12)})
+    assert Counter(made.values()) == {True: 1, False: 11}
+    files.delete(spark, path)
+    assert files.age(spark, path) is None and files.create(spark, path) and files.age(spark, path) < 60
+
+
+def test_claims_are_held_one_at_a_time_and_given_up(spark, tmp_path):
+    path, inside, most = str(tmp_path / "claim"), [], []
+
+    def work(i):
+        with claims.holding(spark, path):
+            inside.append(i)
+            most.append(len(inside))
+            time.sleep(0.1)
+            inside.remove(i)
+            if i % 2:
+                raise RuntimeError("failed inside")
+        return i
+
+    threads = []
+    for i in range(5):
+        def run(i=i):
+            try:
+                work(i)
+            except RuntimeError:
+                pass
+        threads.append(Thread(target=run))
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(60)
+    assert most == [1] * 5 and files.age(spark, path) is None
+
+
+def test_a_stale_claim_is_taken_and_a_live_one_is_not(spark, tmp_path):
+    path = str(tmp_path / "claim")
+    files.create(spark, path)
+    time.sleep(1.2)
+    with claims.holding(spark, path, beat=0.1, stale=1.0):
+        time.sleep(1.5)
+        assert files.age(spark, path) < 1.0
+    assert files.age(spark, path) is None
+
+
+def test_of_two_builders_one_builds(spark, tmp_path, monkeypatch):
+    root, built = str(tmp_path / "warehouse"), []
+
+    def build(raw, root, calendar):
+        built.append(raw)
+        time.sleep(1.0)
+        pointer.publish(spark, warehouse._log(root), warehouse.WAREHOUSE, "v1", f"{root}/v1")
+        return {"built": raw}
+
+    monkeypatch.setattr(warehouse, "build", build)
+    monkeypatch.setattr(warehouse, "open_warehouse", lambda spark, root: pointer.current(spark, warehouse._log(root), warehouse.WAREHOUSE))
+    got = run_together({i: lambda: warehouse.ensure(spark, root, lambda: "raw") for i in range(2)})
+    assert built == ["raw"] and {"built": "raw"} in got.values() and f"{root}/v1" in got.values()
+    assert warehouse.ensure(spark, root, lambda: "raw") == f"{root}/v1" and built == ["raw"]
+
+
+def test_a_failed_build_lets_the_next_one_try(spark, tmp_path, monkeypatch):
+    tries = []
+
+    def build(raw, root, calendar):
+        tries.append(raw)
+        if len(tries) == 1:
+            raise warehouse.QualityError("no")
+        return {"built": raw}
+
+    monkeypatch.setattr(warehouse, "build", build)
+    with pytest.raises(warehouse.QualityError):
+        warehouse.ensure(spark, str(tmp_path), lambda: 1)
+    assert warehouse.ensure(spark, str(tmp_path), lambda: 1) == {"built": 1}
+
+
+# Logs
+
+
+def test_a_log_takes_rows_from_many_at_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert pointer.current(spark, log, "a") is None
+    run_together({i: lambda i=i: pointer.publish(spark, log, "ab"[i % 2], f"v{i}", f"path{i}") for i in range(8)})
+    assert (pointer.current(spark, log, "a"), pointer.current(spark, log, "b")) == ("path6", "path7")
+
+
+def test_history_is_planned_from_the_log_of_schemas(spark, tmp_path, monkeypatch):
+    raw = RawStore(str(tmp_path / "store"))
+    with pytest.raises(FileNotFoundError):
+        raw.history(spark, "d")
+    raw.add(spark.createDataFrame([("1", "x")], "a string, c string"), "d", "v1")
+    raw.add(spark.createDataFrame([("2", 5)], "a string, n bigint"), "d", "v2")
+    unfinished = tmp_path / "store" / "raw" / "d" / "ingest_ts=v3"
+    unfinished.mkdir()
+    # Files that cannot be read: planning must not open any.
+    for part in (tmp_path / "store" / "raw" / "d").rglob("*.parquet"):
+        part.rename(part.with_suffix(".kept"))
+        part.write_bytes(b"no parquet")
+    history = raw.history(spark, "d")
+    assert history.dtypes == [("a", "string"), ("c", "string"), ("n", "bigint"), ("ingest_ts", "string")]
+    for part in (tmp_path / "store" / "raw" / "d").rglob("*.kept"):
+        part.replace(part.with_suffix(".parquet"))
+    assert rows(raw.history(spark, "d"), "a") == [("1", "x", None, "v1"), ("2", "", 5, "v2")]
+
+
+def test_versions_from_before_the_log_and_changed_types(spark, tmp_path):
+    raw = RawStore(str(tmp_path / "store"))
+    spark.createDataFrame([("0", "y")], "a string, b string").write.parquet(raw.version_path("d", "v0"))
+    raw.add(spark.createDataFrame([("1",)], "a string"), "d", "v1")
+    assert rows(raw.history(spark, "d"), "a") == [("0", "y", "v0"), ("1", "", "v1")]
+    raw.add(spark.createDataFrame([(1,)], "a int"), "d", "v2")
+    with pytest.raises(ValueError, match="a of d"):
+        raw.history(spark, "d")
+
+
+# Keys as bits
+
+
+def duplicates(spark, values, kind="bigint"):
+    df = spark.createDataFrame([(v,) for v in values], f"k {kind}")
+    (one,) = checks.duplicate_keys([("k unique", df, ["k"])]).collect()
+    return one["violations"]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(-3, 3), st.integers(32766, 32770), st.integers(-(2**63), 2**63 - 1)), max_size=20))
+def test_bits_count_repeated_numbers(spark, values):
+    assert duplicates(spark, values) == sum(n > 1 for n in Counter(values).values())
+
+
+def test_bitmaps_are_shuffled_instead_of_rows(spark):
+    wide = spark.range(0, 200_000, 1, 4).select("id", F.repeat(F.lit("x"), 100).alias("text"))
+    buckets = checks.duplicate_keys([("id unique", wide, ["id"]), ("again unique", wide.unionAll(wide.where("id = 7")), ["id"])])
+    assert rows(buckets, "constraint") == [("again unique", 1), ("id unique", 0)]
+    mixed = checks.duplicate_keys([("both unique", wide, ["id", "text"]), ("id unique", wide, ["id"]), ("text unique", wide, ["text"])])
+    assert rows(mixed, "constraint") == [("both unique", 0), ("id unique", 0), ("text unique", 1)]
+
+
+# Sketches and reports
+
+
+def test_merged_sketches_keep_their_bound_and_shuffle_no_values(spark):
+    df = spark.range(120_000).select(
+        F.col("id").cast("string").alias("many"), F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, "x").alias("few"),
+        F.lit(None).cast("string").alias("none"), (F.col("id") % 5).alias("day"),
+    )
+    stored = profile.sketches(df, ["many", "few", "none"], ["day"])
+    found = dict(rows(profile.merged_estimates(stored, ["many", "few", "none"])))
+    assert (found["few"], found["none"]) == (2, 0)
+    assert abs(found["many"] - 120_000) <= profile.estimate_bound() * 120_000 and profile.estimate_bound() < 0.04
+    assert stored.count() == 5
+
+
+def test_json_reports_are_read_as_written(spark, tmp_path):
+    schema = "section string, name string, value string"
+    report = spark.createDataFrame([("check", "登革熱 \"q\"\n", "true"), ("rows", "é", None)], schema)
+    write_json(report, str(tmp_path / "report"))
+    assert Counter(read_json(spark, str(tmp_path / "report"), schema).collect()) == Counter(report.collect())
+    lines = [json.loads(line) for p in (tmp_path / "report").glob("part-*") for line in p.read_text(encoding="utf-8").splitlines()]
+    assert {line["name"] for line in lines} == {"登革熱 \"q\"\n", "é"}
+
+
+def test_schema_rows_are_versions_of_one_dataset(spark, tmp_path):
+    raw = RawStore(str(tmp_path / "store"))
+    raw.add(spark.range(1), "d", pointer.new_version(datetime(2024, 1, 1, tzinfo=timezone.utc)))
+    logged = pointer.entries(spark, raw.schema_log, store.SCHEMAS).collect()
+    assert [(r["name"], json.loads(r["schema"])["fields"][0]["name"]) for r in logged] == [("d", "id")]
