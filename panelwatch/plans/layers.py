@@ -1,7 +1,7 @@
 """Dense layers at rest: written once per build, bucketed by line and sorted by period.
 
 A trend is a window over each line. On a layer bucketed by the line it needs no shuffle, and what reads
-a layer does not fill the panel again. A layer is an external table of the session's catalog, as Spark
+a layer does not fill the panel again. Partitions within keep what is asked of one disease to its files. A layer is an external table of the session's catalog, as Spark
 keeps buckets there; other sessions declare it again from its folder, whose name tells the number of buckets.
 """
 
@@ -27,6 +27,7 @@ class Layer:
     columns: str
     line: Sequence[str]
     period: str
+    partition: str | None = None
 
 
 LAYERS = {
@@ -34,8 +35,9 @@ LAYERS = {
         analytics.filled_weeks,
         "disease_code string, disease_name string, county_name string, iso_year int, iso_week int,"
         " week_start_date date, metric_value bigint, denominator bigint",
-        analytics.WEEKLY_LINE,
+        ["disease_name", "county_name"],
         "week_start_date",
+        "disease_code",
     ),
     "monthly_dense": Layer(
         analytics.filled_months,
@@ -56,11 +58,20 @@ def _declared(spark: SparkSession, name: str, root: str, buckets: int) -> DataFr
     quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({layer.columns}) USING parquet"
-        f" CLUSTERED BY ({', '.join(layer.line)}) SORTED BY ({layer.period}) INTO {buckets} BUCKETS LOCATION '{quoted}'"
+        + (f" PARTITIONED BY ({layer.partition})" if layer.partition else "")
+        + f" CLUSTERED BY ({', '.join(layer.line)}) SORTED BY ({layer.period}) INTO {buckets} BUCKETS LOCATION '{quoted}'"
     )
+    # A catalog that keeps partitions does not know those that another session wrote.
+    if layer.partition and spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true":
+        spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
+def _in_order(layer: Layer, table: DataFrame) -> DataFrame:
+    # A partition column is read last; the declared order is restored.
+    return table.select(*[c.split()[0] for c in layer.columns.split(",")])
+
+
 def write_layer(tables: Tables, root: str, name: str, buckets: int | None = None) -> DataFrame:
     """Write a layer below `root`, each bucket by one task, and read it."""
     layer = LAYERS[name]
@@ -70,7 +81,8 @@ def write_layer(tables: Tables, root: str, name: str, buckets: int | None = None
     declared = _declared(spark, name, root, buckets)
     by_line = df.select(*declared.columns).repartition(buckets, *layer.line)
     by_line.write.insertInto(declared_name(root, name, buckets))
-    return _declared(spark, name, root, buckets)
+    spark.catalog.refreshTable(declared_name(root, name, buckets))
+    return _in_order(layer, _declared(spark, name, root, buckets))
 
 
 def declared_name(root: str, name: str, buckets: int) -> str:
@@ -84,5 +96,5 @@ def read_layers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for folder in child_folders(spark, root):
         for name in LAYERS:
             if folder.startswith(_marker(name)):
-                found[name] = _declared(spark, name, root, int(folder.removeprefix(_marker(name))))
+                found[name] = _in_order(LAYERS[name], _declared(spark, name, root, int(folder.removeprefix(_marker(name)))))
     return found
