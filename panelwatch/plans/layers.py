@@ -61,9 +61,6 @@ def _declared(spark: SparkSession, name: str, root: str, buckets: int) -> DataFr
         + (f" PARTITIONED BY ({layer.partition})" if layer.partition else "")
         + f" CLUSTERED BY ({', '.join(layer.line)}) SORTED BY ({layer.period}) INTO {buckets} BUCKETS LOCATION '{quoted}'"
     )
-    # A catalog that keeps partitions does not know those that another session wrote.
-    if layer.partition and spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true":
-        spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
@@ -96,5 +93,11 @@ def read_layers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for folder in child_folders(spark, root):
         for name in LAYERS:
             if folder.startswith(_marker(name)):
-                found[name] = _in_order(LAYERS[name], _declared(spark, name, root, int(folder.removeprefix(_marker(name)))))
+                buckets = int(folder.removeprefix(_marker(name)))
+                layer, table = LAYERS[name], _declared(spark, name, root, buckets)
+                # A catalog that keeps partitions does not know those that another session wrote.
+                if layer.partition and spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true":
+                    spark.catalog.recoverPartitions(declared_name(root, name, buckets))
+                    table = spark.table(declared_name(root, name, buckets))
+                found[name] = _in_order(layer, table)
     return found
