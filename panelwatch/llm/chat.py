@@ -1,7 +1,7 @@
 """Operator 2: format conversations as training windows of a token budget.
 
 Turns are laid out by prefix sums of their tokens (words plus a constant for their marks). The sum is cut
-into strides; the turns that lie within a stride are the targets of one window, and a turn across the edge
+into strides, as long as the budget without the history and the conversation's system turn; the turns that lie within a stride are the targets of one window, and a turn across the edge
 of two has a window of its own, so a window is aligned with turns and its targets exceed the stride only if
 a single turn does. Every window begins with the conversation's system turn and the turns just before its
 targets, as far as `history` tokens reach. These are context and masked: the loss mask covers each
@@ -17,7 +17,8 @@ long conversation is spread over tasks; context is found by equi-joins on ranges
 
 Defined cases: null texts and roles are empty; turns are ordered by turn (null first), then role, then
 text, and repeated rows are turns of their own; rows with null conv_id are one conversation; an empty
-table gives no rows; a turn longer than the budget is kept whole; extra columns are not looked at.
+table gives no rows; a turn longer than the budget is kept whole, so a window exceeds
+the budget only by a system turn that fills it or by its one target; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwatch.llm.common import words_in
+from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
 
 BUDGET = 512
@@ -99,13 +101,16 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     """
     if not 0 < history < budget:
         raise ValueError("history must be a part of the budget")
-    stride = budget - history
-    placed = _placed(turns)
+    placed = materialise(_placed(turns), "prefix_sums")
+    is_system = (F.col("_at") == 1) & (F.col("role") == SYSTEM_ROLE)
+    # Every window repeats the system turn, so its tokens are taken off the stride of its conversation.
+    systems = placed.where(is_system).select("_conv", F.col("_tokens").alias("_system"))
+    placed = lookup(placed, systems, ["_conv"], "left", salt_by=["_at"])
+    stride = F.greatest(F.lit(budget - history) - F.coalesce("_system", F.lit(0)), F.lit(1))
     first, last = F.floor(F.col("_start") / stride), F.floor((F.col("_start") + F.col("_tokens") - 1) / stride)
     placed = materialise(
         placed.withColumn("window", F.when(first == last, 2 * first).otherwise(2 * last - 1)), "placed_turns"
     )
-    is_system = (F.col("_at") == 1) & (F.col("role") == SYSTEM_ROLE)
     begins = placed.groupBy("_conv", "window").agg(F.min("_start").alias("_begin"))
 
     # Context from just before: windows that begin up to `history` tokens after a turn's start.

@@ -16,7 +16,8 @@ fewer words is one shingle), and their weight is how often they occur.
 All stages work on whole texts, once per distinct text. Everything is DataFrame functions.
 
 Defined cases: null and empty texts, and items without words, match nothing; equal texts have equal
-results; of windows with equal similarity the least item id is reported; documents shorter than an item
+results; of windows with equal similarity the least item id is reported, a null id last;
+an item with a null id is an item like any other, reported as null; documents shorter than an item
 are compared as a whole; an empty benchmark or table gives clean documents or no rows; extra columns are
 kept by `clean` and not looked at otherwise; rows with null doc_id are judged as any other.
 """
@@ -54,8 +55,14 @@ def shingles(ws: Column) -> Column:
     return F.transform(_starts(ws, k), lambda i: F.concat_ws(" ", F.slice(ws, i, k)))
 
 
-def _hashes(ws: Column, k: int) -> Column:
-    return F.transform(_starts(ws, F.lit(k)), lambda i: F.xxhash64(F.slice(ws, i, k)))
+def _hashed(ws: Column) -> Column:
+    return F.transform(ws, lambda w: F.xxhash64(w))
+
+
+def _hashes(hashed: Column, k: int) -> Column:
+    """Hashes of all shingles of k words, from the words' own hashes."""
+    first = F.slice(hashed, F.lit(1), F.greatest(F.size(hashed) - F.lit(k - 1), F.lit(0)))
+    return F.transform(first, lambda h, i: F.xxhash64(h, *[F.get(hashed, i + n) for n in range(1, k)]))
 
 
 def simhash(grams: Column) -> Column:
@@ -115,13 +122,15 @@ def windows(docs: DataFrame, items: DataFrame, similar: float = SIMILAR) -> Data
     """key (of the text), size, start, window: the item-sized windows that may be similar to an item."""
     met = None
     sizes = [r[0] for r in items.select("k").distinct().collect()]  # at most SHINGLE numbers
-    cut = docs.select("text", words(F.col("text")).alias("ws"))
+    cut = docs.select(F.md5("text").alias("key"), words(F.col("text")).alias("ws"))
+    cut = cut.select("key", F.size("ws").alias("n"), _hashed(F.col("ws")).alias("hashed"))
     for k in sorted(sizes):
-        grams = items.where(F.col("k") == k).select("size", "item_id", F.explode(_hashes(F.col("ws"), k)).alias("gram"))
+        hashed = items.where(F.col("k") == k).select("size", "item_id", _hashed(F.col("ws")).alias("hashed"))
+        grams = hashed.select("size", "item_id", F.explode(_hashes(F.col("hashed"), k)).alias("gram"))
         table = materialise(
             grams.distinct().groupBy("gram").agg(F.collect_set(F.struct("size", "item_id")).alias("items")), "item_shingles"
         )
-        places = cut.select(F.md5("text").alias("key"), F.size("ws").alias("n"), F.posexplode(_hashes(F.col("ws"), k)).alias("pos", "gram"))
+        places = cut.select("key", "n", F.posexplode(_hashes(F.col("hashed"), k)).alias("pos", "gram"))
         found = lookup(places, table, ["gram"], small=small_lists(table, "items"), salt_by=["pos", "gram"])
         found = found.select("key", "n", F.lit(k).alias("k"), "pos", F.explode("items").alias("i"))
         met = found if met is None else met.unionByName(found)
@@ -146,8 +155,16 @@ def contaminated(
     """One row per distinct contaminated text: key (its MD5), n_items, item_id, similarity (of the best)."""
     ws = words(F.col("text"))
     items = materialise(
-        benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
-        .select("item_id", ws.alias("ws"))
+        benchmark.where("text IS NOT NULL")
+        # Items without an id are told apart by their texts.
+        .select(
+            F.struct(
+                F.col("item_id").isNotNull().alias("named"),
+                F.col("item_id").cast("bigint").alias("id"),
+                F.when(F.col("item_id").isNull(), F.md5("text")).alias("text"),
+            ).alias("item_id"),
+            ws.alias("ws"),
+        )
         .where(F.size("ws") > 0)
         .select("item_id", "ws", F.size("ws").alias("size"), F.least(F.size("ws"), F.lit(SHINGLE)).alias("k")),
         "items",
@@ -187,7 +204,7 @@ def contaminated(
     verified = lookup(near, grams_of, ["item_id"], small=small_lists(grams_of, "item_grams")).select(
         "key", "item_id", similarity(F.col("grams"), F.col("item_grams")).alias("similarity")
     )
-    best = F.max(F.struct("similarity", (-F.col("item_id")).alias("item_id"))).alias("_best")
+    best = F.max(F.struct("similarity", "item_id.named", (-F.col("item_id.id")).alias("item_id"))).alias("_best")
     return (
         verified.where(F.col("similarity") >= similar)
         .groupBy("key", "item_id")

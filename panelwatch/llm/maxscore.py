@@ -8,14 +8,14 @@ probed in the other terms, a few at a time, and dropped as soon as they are no l
 components are no obstacle, as bounds are taken per query from each term's least and largest value.
 Scores are exact integers, and a row is dropped only if it is below the threshold, never on a tie.
 
-Queries are taken in blocks of fixed size, so what is broadcast doesn't grow; each block scans all rows
+Equal query rows are one query. Queries are taken in blocks of fixed size, by a hash of id and vector, so what is broadcast doesn't grow; each block scans all rows
 once. Each task keeps k rows per query of its shards, and one window per query merges the tasks' rows.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part; shorter vectors
 count as filled up with zeros; rows that share a query's vec_id are its own and no candidates; a null
 vec_id is a candidate that comes last among ties (as the largest number) and is returned as null; repeated
 query rows are queries of their own; an empty table gives no rows; extra columns are not looked at. Scores
-beyond 64 bits are out of range.
+are exact whole numbers up to 64 bits; beyond these they are out of range.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwatch.llm.common import run_anywhere
-from panelwatch.session import scratch_path
+from panelwatch.session import materialise, scratch_path
 
 run_anywhere(__name__)
 
@@ -62,14 +62,15 @@ class Best:
     """The k best (score, id) of one query so far, by score and then by smaller id."""
 
     def __init__(self, k: int):
-        self.k, self.score, self.id = k, np.zeros(0), np.zeros(0, np.int64)
+        self.k, self.score, self.id = k, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @property
     def threshold(self) -> float:
         return self.score[-1] if len(self.score) == self.k else -np.inf
 
     def add(self, score: np.ndarray, ids: np.ndarray) -> None:
-        score, ids = np.concatenate([self.score, score]), np.concatenate([self.id, ids])
+        # Scores are whole numbers; where they are held as doubles, these are exact.
+        score, ids = np.concatenate([self.score, score.astype(np.int64)]), np.concatenate([self.id, ids])
         order = np.lexsort((ids, -score))[: self.k]
         self.score, self.id = score[order], ids[order]
 
@@ -104,7 +105,7 @@ def search(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, b
 
 def _searcher(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, queries = shared.value
+        own, times, queries = shared.value
         best = [Best(k) for _ in own]
         for batch in batches:
             matrix, rows = quantised(batch.column("vector"))
@@ -123,9 +124,9 @@ def _searcher(shared, k: int):
             if len(found.id):
                 n = len(found.id)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, q, np.int32)), pa.array(np.full(n, own[q])),
+                    [pa.array(np.full(n, q, np.int32)), pa.array(np.full(n, times[q])), pa.array(np.full(n, own[q])),
                      pa.array(found.id, mask=found.id == _NONE), pa.array(found.score.astype(np.int64))],
-                    names=["q", "query_id", "vec_id", "score"],
+                    names=["q", "times", "query_id", "vec_id", "score"],
                 )
 
     return run
@@ -136,18 +137,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK)
     spark = vectors.sparkSession
     table = vectors.select(F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").alias("vector"))
     asked = vectors.where(is_query).select(F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").alias("vector"))
+    # Equal query rows are asked once.
+    asked = materialise(asked.groupBy("id", "vector").agg(F.count("*").alias("times")), "queries")
     blocks = max(1, -(-asked.count() // block))
     path = scratch_path(spark, "best")
-    schema = "q int, query_id bigint, vec_id bigint, score bigint"
+    schema = "q int, times bigint, query_id bigint, vec_id bigint, score bigint"
     merged = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     for b in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id", "vector").toArrow()
+        own = asked.where(F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)) == b).orderBy("id", "vector").toArrow()
         queries, rows = quantised(own.column("vector"))
-        ids = own.column("id").to_numpy()[rows]
-        shared = spark.sparkContext.broadcast((ids, queries))
+        ids, times = (own.column(c).to_numpy()[rows] for c in ("id", "times"))
+        shared = spark.sparkContext.broadcast((ids, times, queries))
         found = table.mapInArrow(_searcher(shared, k), schema)
         ranked = found.withColumn("rank", F.row_number().over(merged)).where(F.col("rank") <= k)
-        ranked.select("query_id", "rank", "vec_id", "score").write.parquet(f"{path}/{b}")
+        repeated = ranked.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        repeated.select("query_id", "rank", "vec_id", "score").write.parquet(f"{path}/{b}")
         shared.destroy()
     return spark.read.schema("query_id bigint, rank int, vec_id bigint, score bigint").parquet(
         *[f"{path}/{b}" for b in range(blocks)]

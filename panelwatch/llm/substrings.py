@@ -310,6 +310,7 @@ def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         size.alias("n_bytes"),
         (size - F.octet_length("kept")).alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"),
+        (F.size("removed") > 0).alias("repeated"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 
@@ -340,6 +341,6 @@ WITH texts AS (
   SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed FROM spans GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(left_over)) AS kept_sha256
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(n_spans, 0) > 0 AS repeated, sha256(unhex(left_over)) AS kept_sha256
 FROM texts JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
 """

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm_data import frame, text
+from pyspark.sql import functions as F
 
 from panelwatch.llm import chat, maxscore, urls
 
@@ -212,3 +213,37 @@ def test_maxscore_leaves_terms_and_rows_out_but_not_results():
     scores[17] = -np.inf
     order = np.lexsort((ids, -scores))[:5]
     assert list(best.id) == list(order) and list(best.score) == list(scores[order])
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    far = float(1 << 19)  # 2 ** 27 once multiplied by 256
+    rows = [(50, [far, 1 / 256], 0), (1, [far, 0.0], 0), (2, [far, 1 / 256], 0), (3, [far, 2 / 256], 0), (4, [0.5, 0.5], 0)]
+    got = maxscore.top_k(frame(spark, rows, VECTORS), F.col("vec_id") % 50 == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(3, 2**54 + 2), (2, 2**54 + 1), (1, 2**54), (4, 2**34 + 128)]
+    assert Counter(map(tuple, got)) == brute_top(rows)
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_one_id_on_many_queries_and_equal_queries(spark, tmp_path, block):
+    rows = [(0, v, 0) for _, v, _ in vector_rows(90, 4) if v] + [(100, [0.1] * 16, 0)] * 7 + [(i, [0.01 * i] * 16, 0) for i in range(1, 9)]
+    vectors = frame(spark, rows, VECTORS, tmp_path)
+    got = maxscore.top_k(vectors, vectors.vec_id % 50 == 0, block=block)
+    assert Counter(map(tuple, got.collect())) == brute_top(rows)
+
+
+def test_whole_windows_keep_the_budget_with_a_long_system_turn(spark):
+    r = random.Random(8)
+    rows = []
+    for conv, n in ((1, 0), (2, 30), (3, 60), (4, 79), (5, 200)):
+        rows += [(conv, 0, "system", text(conv, n))] if n else []
+        rows += [(conv, t, ("user", "assistant")[t % 2], text(50 * conv + t, r.randrange(1, 25))) for t in range(1, 60)]
+    windows = chat.windows(frame(spark, rows, TURNS), budget=120, history=30)
+    over = Counter()
+    for w in windows.collect():
+        pieces = w.formatted.split("</s>")[:-1]
+        cost = [len(p.partition("\n")[2].encode().split()) + chat.MARKS for p in pieces]
+        over[w.conv_id] += sum(cost) > 120 and w.n_turns - w.n_context > 1
+    assert not +over, over
+    read = {x.conv_id: x for x in chat.read_back(windows).collect()}
+    for conv, (turns, loss) in expected_conversations(rows).items():
+        assert [(t.role, t.text) for t in read[conv].turns] == turns and read[conv].loss == loss

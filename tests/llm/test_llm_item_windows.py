@@ -34,3 +34,14 @@ def test_swapped_halves_and_repeated_words(spark, tmp_path):
             assert got[i].similarity == pytest.approx(max(found.values()))
             swapped += max(found.values()) < 1
     assert swapped > 10
+
+
+def test_items_without_an_id_are_items(spark, tmp_path):
+    passages = [text(70 + i, 30) for i in range(4)]
+    items = [(None, passages[0]), (None, passages[1]), (5, passages[1]), (7, passages[2]), (None, passages[2]), (None, None)]
+    rows = [(i, f"{text(i, 20)} {p} {text(i + 9, 20)}", "en", "a", 0) for i, p in enumerate(passages)]
+    docs = frame(spark, rows, SCHEMA, tmp_path)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.doc_id: (r.contaminated, r.n_items, r.item_id, r.similarity) for r in decontamination.report(docs, bench).collect()}
+    assert got == {0: (True, 1, None, 1.0), 1: (True, 2, 5, 1.0), 2: (True, 2, 7, 1.0), 3: (False, 0, None, None)}
+    assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [3]

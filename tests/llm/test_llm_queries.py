@@ -21,7 +21,7 @@ COLUMNS = {
     "op1_mix_sources": "doc_id size source_size target taken",
     "op2_format_chats": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op3_url_filter": "page_id host path rule verdict",
-    "op4_repeated_substrings": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op4_repeated_substrings": "doc_id n_bytes n_removed n_spans repeated kept_sha256",
     "op5_decontaminate": "doc_id contaminated n_items item_id similarity",
     "op6_language": "doc_id held_out lang_pred score",
     "op7_top_k": "query_id rank vec_id score",
