@@ -1,19 +1,23 @@
 """Operator 6: language identification by prediction by partial matching.
 
-For each language a byte context tree of orders 2, 1 and 0 is counted on all labelled texts. With the
-statistics frozen, the code length of a byte after its two predecessors is a fixed number of bits:
+For each language a byte context tree of orders 4 to 0 (`order`) is counted on all labelled texts. With the
+statistics frozen, the code length of a byte after its predecessors is a fixed number of bits:
 
 * a byte seen n times in a context seen N times, with D different bytes, costs -log2(n / (N + D));
 * any other byte costs the escape, -log2(D / (N + D)), and then what the next shorter context asks for;
-* a context never seen passes on without cost, and a byte never seen at all costs 8 bits more.
+* a context without a node passes on without cost, and a byte never seen at all costs 8 bits more.
 
-So the tree of a language flattens into a table of costs per three bytes, and a text's exact code length
-is a sum of look-ups, done by numpy on the text's own Arrow buffer. A text's language is the one with the
-shortest code; the score is its share of the languages' probabilities for the text.
+A text's exact code length is the sum over its bytes. Each task looks up only the different byte strings of a
+piece of its texts: a string's cost in every language is stored for each order at which the tree knows it, so the
+longest known one gives the cost, and escapes of longer contexts are added. A text's language is the one with
+the shortest code; the score is its share of the languages' probabilities for the text.
 
-What is gathered from the corpus are counts per language and byte triple, combined in each task and then
-by Spark. The counts are all the driver receives: at most (distinct bytes + 1)^3 per language however long
-the corpus is, some 10^5 in practice. The same bound holds for the broadcast table (4 bytes an entry).
+What is counted grows with the corpus: a row per language and byte string of up to order + 1 bytes, combined in each
+task and then by Spark, in tables. What is broadcast does not: a context has a node if it was seen `least` times,
+and `least` is the smallest power of two with which the tree has at most `cells` entries times languages. It
+follows from the counts of all texts alone; it is 1, the whole tree, as long as that fits. A kept context keeps
+all its statistics, so every code length is exact for the tree. Order 0 is always kept, which `cells` must hold:
+beyond some 180 languages the default does not, and that is an error.
 
 Defined cases: a null text, or one without any letter, is `und` with score 0, as is every text if nothing
 was learned; empty and null texts and null languages teach nothing; languages with equal code length go to
@@ -28,27 +32,37 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwatch.llm.common import run_anywhere
+from panelwatch.session import materialise
 
 run_anywhere(__name__)
 
 UNDETERMINED = "und"
+ORDER = 4  # bytes of the longest contexts
+CELLS = 1 << 23  # costs in a tree: entries times languages
 _START = 0xFF  # stands before a text; never a byte of UTF-8
+_UNSEEN = 8.0  # bits of a byte that no text had
 _PIECE = 1 << 20
+_HELD = 1 << 21  # different byte strings that a task counts before it passes them on
+
+
+@dataclass(frozen=True)
+class Level:
+    """The contexts of one order: byte strings, the last byte of which follows the others."""
+
+    strings: np.ndarray  # those known to any language, sorted, the last byte lowest
+    cost: np.ndarray  # language x string: bits of the last byte, escapes included
+    contexts: np.ndarray  # the strings without their last byte, sorted
+    escape: np.ndarray  # language x context: bits of the escape, 0 without a node
 
 
 @dataclass(frozen=True)
 class Model:
     languages: list[str]  # in order of name
-    symbol: np.ndarray  # byte -> symbol; bytes never seen share the last one
-    cost: np.ndarray  # language x (symbols ** 3): bits of the third symbol after the first two
-
-    @property
-    def symbols(self) -> int:
-        return int(self.symbol.max()) + 1 if len(self.languages) else 1
+    levels: list[Level]  # by order, from 0
 
 
 def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,105 +76,157 @@ def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
-def _triples(data: np.ndarray, at: np.ndarray, symbol: np.ndarray, base: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(from, to, codes): for each byte its two predecessors in the same text and itself, in base `base`."""
-    start = symbol[_START]
+def _strings(data: np.ndarray, at: np.ndarray, order: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(from, to, strings): each byte behind its `order` predecessors in the same text, as one number."""
     for s in range(0, len(data), _PIECE):
         e = min(s + _PIECE, len(data))
-        piece = symbol[data[max(0, s - 2) : e]].astype(np.int32)
-        padded = np.concatenate([np.full(2 - min(s, 2), start, np.int32), piece])
-        two, one, now = padded[:-2].copy(), padded[1:-1].copy(), padded[2:]
-        first = at[np.searchsorted(at, s) : np.searchsorted(at, e)] - s
-        second = at[np.searchsorted(at, s - 1) : np.searchsorted(at, e - 1)] + 1 - s
-        one[first] = start
-        two[first] = start
-        two[second] = start
-        yield s, e, (two * base + one) * base + now
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
-        langs, texts = batch.column("lang"), batch.column("text")
-        for lang in pc.unique(langs).to_pylist():
-            data, at = _buffer(texts.filter(pc.equal(langs, lang)))
-            if not len(data):
-                continue
-            used = np.flatnonzero(np.bincount(data, minlength=256)).astype(np.int32)
-            used = np.append(used, _START)
-            symbol = np.zeros(256, np.uint8)
-            symbol[used] = np.arange(len(used))
-            base = len(used)
-            counts = np.zeros(base**3, np.int64)
-            for _, _, codes in _triples(data, at, symbol, base):
-                counts += np.bincount(codes, minlength=base**3)
-            seen = np.flatnonzero(counts)
-            two, rest = np.divmod(seen, base * base)
-            one, now = np.divmod(rest, base)
-            keys = (used[two] << 16) | (used[one] << 8) | used[now]
-            known = sums.get(lang, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-            keys, where = np.unique(np.concatenate([known[0], keys]), return_inverse=True)
-            total = np.bincount(where, np.concatenate([known[1], counts[seen]])).astype(np.int64)
-            sums[lang] = keys, total
-    for lang, (keys, total) in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int32()), pa.array(total, pa.int64())],
-            names=["lang", "code", "n"],
-        )
-
-
-def count_triples(labelled: DataFrame) -> DataFrame:
-    """lang, code (three bytes), n: over all texts with a language."""
-    partial = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    return partial.mapInArrow(_count, "lang string, code int, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-
-
-def _bits(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Code lengths in a context (all but the last axis), given those of the next shorter context."""
-    total = counts.sum(axis=-1, keepdims=True)
-    kinds = np.count_nonzero(counts, axis=-1, keepdims=True)
-    whole = np.log2(np.maximum(total + kinds, 1))
-    escape = np.where(kinds > 0, whole - np.log2(np.maximum(kinds, 1)), 0.0)
-    return np.where(counts > 0, whole - np.log2(np.maximum(counts, 1)), escape + shorter)
-
-
-def freeze(counts: pa.Table) -> Model:
-    """The cost table of a count table."""
-    names = counts.column("lang").to_pylist()
-    languages = sorted(set(names))
-    code, n = counts.column("code").to_numpy(), counts.column("n").to_numpy()
-    trio = np.stack([code >> 16, (code >> 8) & 255, code & 255]).astype(np.int64)
-    used = np.unique(np.append(trio.ravel(), _START))
-    symbol = np.full(256, len(used), np.uint8)
-    symbol[used] = np.arange(len(used))
-    size = len(used) + 1
-    which = np.searchsorted(np.array(languages, dtype=object), np.array(names, dtype=object)) if names else np.zeros(0, int)
-    cost = np.zeros((len(languages), size**3), np.float32)
-    for k in range(len(languages)):
+        strings = data[s:e].astype(np.int64)
+        for back in range(1, order + 1):
+            before = np.full(e - s, _START, np.int64)
+            before[max(0, back - s) :] = data[max(0, s - back) : max(0, e - back)]
+            for t in range(back):
+                starts = at[np.searchsorted(at, s - t) : np.searchsorted(at, e - t)] + t - s
+                before[starts] = _START
+            strings |= before << (8 * back)
+        yield s, e, strings
+
+
+def _counter(order: int):
+    def table(lang: str, strings: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([lang] * len(strings), pa.string()), pa.array(strings), pa.array(n)]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "string", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            langs, texts = batch.column("lang"), batch.column("text")
+            for lang in pc.unique(langs).to_pylist():
+                for _, _, strings in _strings(*_buffer(texts.filter(pc.equal(langs, lang))), order):
+                    strings, n = np.unique(strings, return_counts=True)
+                    if lang in sums:
+                        known = sums[lang]
+                        strings, where = np.unique(np.concatenate([known[0], strings]), return_inverse=True)
+                        n = np.bincount(where, np.concatenate([known[1], n])).astype(np.int64)
+                    sums[lang] = strings, n.astype(np.int64)
+                    if sum(len(k) for k, _ in sums.values()) > _HELD:
+                        for each, (k, m) in sums.items():
+                            yield table(each, k, m)
+                        sums = {}
+        for each, (k, m) in sums.items():
+            yield table(each, k, m)
+
+    return count
+
+
+def count_strings(labelled: DataFrame, order: int = ORDER) -> DataFrame:
+    """lang, length, string (so many bytes as one number), n, seen (times its context was): over all texts
+    with a language."""
+    if not 0 <= order <= 6:
+        raise ValueError("order must lie between 0 and 6, so that a string fits into a long")
+    taught = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    partial = taught.mapInArrow(_counter(order), "lang string, string bigint, n bigint")
+    longest = materialise(partial.groupBy("lang", "string").agg(F.sum("n").alias("n")), "byte_strings")
+    cut = F.explode(
+        F.array(*[
+            F.struct(F.lit(k).alias("length"), F.col("string").bitwiseAND(F.lit((1 << 8 * k) - 1).cast("bigint")).alias("string"))
+            for k in range(1, order + 2)
+        ])
+    )
+    all_lengths = longest.select("lang", cut.alias("s"), "n").groupBy("lang", "s.length", "s.string")
+    context = Window.partitionBy("lang", "length", F.shiftright("string", 8))
+    return all_lengths.agg(F.sum("n").alias("n")).withColumn("seen", F.sum("n").over(context))
+
+
+def kept(counts: DataFrame, cells: int = CELLS) -> tuple[list[str], int]:
+    """The languages, and how often a context must have been seen for the tree to have at most `cells` costs."""
+    most = int((cells // 256) ** 0.5)
+    languages = [r[0] for r in counts.where("length = 1").select("lang").distinct().sort("lang").limit(most + 1).collect()]
+    if len(languages) > most:
+        raise ValueError(f"{cells} cells hold at most {most} languages")
+    # At most 64 rows: entries by the power of two of how often their context was seen.
+    power = F.when(F.col("length") == 1, 63).otherwise(F.length(F.bin("seen")) - 1)
+    by_power = dict(counts.groupBy(power.alias("power")).count().collect())
+    entries, least = by_power.pop(63, 0), 63
+    while least > 0 and (entries + by_power.get(least - 1, 0)) * len(languages) <= cells:
+        least -= 1
+        entries += by_power.get(least, 0)
+    return languages, 1 << least
+
+
+def _level(
+    order: int, strings: np.ndarray, which: np.ndarray, n: np.ndarray, languages: int, shorter: Level | None
+) -> Level:
+    """The costs of one order, given those of the next shorter one."""
+    known, place = np.unique(strings, return_inverse=True)
+    contexts, parent = np.unique(known >> 8, return_inverse=True)
+    if shorter is None:
+        below = np.full((languages, len(known)), _UNSEEN)
+    else:
+        # Where a context has a node, so has the one without its first byte: its strings are known.
+        suffix = known & ((1 << 8 * order) - 1)
+        below = shorter.cost[:, np.searchsorted(shorter.strings, suffix)].astype(np.float64)
+    cost, escape = np.zeros((languages, len(known)), np.float32), np.zeros((languages, len(contexts)), np.float32)
+    for k in range(languages):
         mine = which == k
-        three = np.zeros((size, size, size))
-        three[tuple(symbol[trio[:, mine]].astype(np.int64))] = n[mine]
-        two = three.sum(axis=0)
-        zero = _bits(two.sum(axis=0), np.full(size, 8.0))
-        cost[k] = _bits(three, _bits(two, zero)[None, :, :]).ravel()
-    return Model(languages, symbol, cost)
-
-
-def train(labelled: DataFrame) -> Model:
+        count = np.zeros(len(known))
+        count[place[mine]] = n[mine]
+        total = np.bincount(parent, count, len(contexts))
+        kinds = np.bincount(parent, count > 0, len(contexts))
+        whole = np.log2(np.maximum(total + kinds, 1))
+        escape[k] = np.where(kinds > 0, whole - np.log2(np.maximum(kinds, 1)), 0.0)
+        cost[k] = np.where(count > 0, whole[parent] - np.log2(np.maximum(count, 1)), escape[k][parent] + below[k])
+    return Level(known, cost, contexts, escape)
+
+
+def freeze(counts: pa.Table, languages: list[str]) -> Model:
+    """The tree of a table of lang, length, string, n."""
+    which = pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()
+    length, string, n = (counts.column(c).to_numpy() for c in ("length", "string", "n"))
+    levels: list[Level] = []
+    for order in range(int(length.max(initial=0))):
+        here = length == order + 1
+        shorter = levels[-1] if levels else None
+        levels.append(_level(order, string[here], which[here], n[here], len(languages), shorter))
+    return Model(languages, levels)
+
+
+def train(labelled: DataFrame, order: int = ORDER, cells: int = CELLS) -> Model:
     """Learn from all rows' text and lang; no other column is used."""
-    return freeze(count_triples(labelled).toArrow())
+    counts = materialise(count_strings(labelled, order), "contexts")
+    languages, least = kept(counts, cells)
+    tree = counts.where((F.col("length") == 1) | (F.col("seen") >= least))
+    return freeze(tree.select("lang", "length", "string", "n").toArrow(), languages)
+
+
+def _costs(model: Model, strings: np.ndarray) -> np.ndarray:
+    """language x string: bits of the last byte of each string."""
+    bits = np.zeros((len(model.languages), len(strings)))
+    left = np.arange(len(strings))
+    for order in range(len(model.levels) - 1, -1, -1):
+        level = model.levels[order]
+        string = strings[left] & ((1 << 8 * (order + 1)) - 1)
+        at = np.minimum(np.searchsorted(level.strings, string), len(level.strings) - 1)
+        found = level.strings[at] == string
+        bits[:, left[found]] += level.cost[:, at[found]]
+        left, context = left[~found], string[~found] >> 8
+        at = np.minimum(np.searchsorted(level.contexts, context), len(level.contexts) - 1)
+        node = level.contexts[at] == context
+        bits[:, left[node]] += level.escape[:, at[node]]
+    bits[:, left] += _UNSEEN
+    return bits
 
 
 def code_lengths(model: Model, texts: pa.Array) -> np.ndarray:
     """Bits of each text under each language."""
     data, at = _buffer(texts)
     bits = np.zeros((len(model.languages), len(texts)))
-    for s, e, codes in _triples(data, at, model.symbol, model.symbols):
+    for s, e, strings in _strings(data, at, len(model.levels) - 1):
         first, last = np.searchsorted(at, s, "right") - 1, np.searchsorted(at, e, "left")
         low, high = np.clip(at[first:last], s, e) - s, np.clip(at[first + 1 : last + 1], s, e) - s
-        for k, cost in enumerate(model.cost):
+        different, where = np.unique(strings, return_inverse=True)
+        for k, cost in enumerate(_costs(model, different)):
             run = np.zeros(e - s + 1)
-            np.cumsum(cost.take(codes), dtype=np.float64, out=run[1:])
+            np.cumsum(cost.take(where), out=run[1:])
             bits[k, first:last] += run[high] - run[low]
     return bits
 
@@ -180,11 +246,13 @@ def judge(model: Model, texts: pa.Array) -> pa.StructArray:
 
 def predictor(spark: SparkSession, model: Model):
     """A function from a text column to a struct of lang_pred and score."""
-    shared = spark.sparkContext.broadcast((model.languages, model.symbol, model.cost))
+    plain = [(v.strings, v.cost, v.contexts, v.escape) for v in model.levels]  # of no class that a worker may lack
+    shared = spark.sparkContext.broadcast((model.languages, plain))
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predicted(texts: pa.Array) -> pa.Array:
-        return judge(Model(*shared.value), texts)
+        languages, levels = shared.value
+        return judge(Model(languages, [Level(*v) for v in levels]), texts)
 
     return predicted
 

@@ -152,30 +152,41 @@ def test_native_simhash_is_that_of_its_shingles(spark):
 # Operator 6
 
 
-def test_code_lengths_are_those_of_the_context_tree(spark):
-    taught = [("en", text(i, 30)) for i in range(6)] + [("xx", "βγδ αβγ βββ"), ("xx", "γγ δδ")]
+@pytest.mark.parametrize(("order", "cells"), [(0, 4096), (2, 1 << 20), (4, 1 << 20), (4, 1500), (6, 1 << 20)])
+def test_code_lengths_are_those_of_the_context_tree(spark, order, cells):
+    taught = [("en", text(i, 30)) for i in range(6)] + [("xx", "βγδ αβγ βββ"), ("xx", "γγ δδ"), ("xx", ""), ("xx", "γ")]
     labelled = spark.createDataFrame([(t, lang) for lang, t in taught], "text string, lang string")
-    model = language.train(labelled)
+    model = language.train(labelled, order, cells)
     assert model.languages == ["en", "xx"]
+    trees = {}
+    for lang, s in taught:
+        counts = trees.setdefault(lang, [defaultdict(Counter) for _ in range(order + 1)])
+        data = [256] * order + list(s.encode())
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                counts[k][tuple(data[i - k : i])][data[i]] += 1
+
+    def entries(least):
+        return sum(len(c) for t in trees.values() for k in t for ctx, c in k.items() if not ctx or sum(c.values()) >= least)
+
+    least = 1
+    while 2 * entries(least) > cells and least < 1 << 20:
+        least *= 2
+    assert (least > 1) == (cells == 1500)
 
     def bits(lang, t):
-        counts = [defaultdict(Counter) for _ in range(3)]
-        for known, s in taught:
-            if known == lang:
-                data = [256, 256, *s.encode()]
-                for i in range(2, len(data)):
-                    for order in range(3):
-                        counts[order][tuple(data[i - order : i])][data[i]] += 1
-        total, data = 0.0, [256, 256, *t.encode()]
-        for i in range(2, len(data)):
-            for order in (2, 1, 0):
-                seen = counts[order][tuple(data[i - order : i])]
+        total, data = 0.0, [256] * order + list(t.encode())
+        for i in range(order, len(data)):
+            for k in range(order, -1, -1):
+                ctx = tuple(data[i - k : i])
+                seen = trees[lang][k][ctx]
                 n, d = sum(seen.values()), len(seen)
+                if ctx and n < least:
+                    continue
                 if seen[data[i]]:
                     total -= math.log2(seen[data[i]] / (n + d))
                     break
-                if n:
-                    total -= math.log2(d / (n + d))
+                total -= math.log2(d / (n + d))
             else:
                 total += 8
         return total
@@ -186,12 +197,54 @@ def test_code_lengths_are_those_of_the_context_tree(spark):
         assert list(got[k]) == pytest.approx([bits(lang, t) for t in probes], rel=1e-5, abs=1e-3)
 
 
-def test_pieces_do_not_change_code_lengths(monkeypatch):
-    counts = pa.table({"lang": ["a", "a", "b"], "code": [0x616263, 0xFFFF61, 0x626361], "n": [3, 1, 2]})
-    model, texts = language.freeze(counts), pa.array(["abcabc", "", "a", None, "cab" * 20])
+def test_too_many_languages_for_the_tree_are_an_error(spark):
+    labelled = spark.createDataFrame([("text", f"l{i}") for i in range(5)], "text string, lang string")
+    with pytest.raises(ValueError, match="at most 4 languages"):
+        language.train(labelled, 4, 256 * 16)
+
+
+def test_pieces_do_not_change_what_is_counted_and_code_lengths(spark, monkeypatch):
+    taught = [("abc abd", "a"), ("", "a"), ("b", "a"), ("cab cab", "b"), ("é", "b")]
+    labelled = spark.createDataFrame(taught, "text string, lang string")
+    model, texts = language.train(labelled), pa.array(["abcabc", "", "a", None, "cab" * 20])
     whole = language.code_lengths(model, texts)
-    monkeypatch.setattr(language, "_PIECE", 5)
-    assert language.code_lengths(model, texts) == pytest.approx(whole)
+    batch = pa.RecordBatch.from_pydict({"lang": [lang for _, lang in taught], "text": [t for t, _ in taught]})
+
+    def counted():
+        sums = Counter()
+        for rows in language._counter(4)(iter([batch, batch])):
+            for r in rows.to_pylist():
+                sums[r["lang"], r["string"]] += r["n"]
+        return sums
+
+    at_once = counted()
+    for size in (1, 3, 5):
+        monkeypatch.setattr(language, "_PIECE", size)
+        monkeypatch.setattr(language, "_HELD", size)
+        assert language.code_lengths(model, texts) == pytest.approx(whole)
+        assert counted() == at_once
+
+
+def test_languages_of_one_script_of_three_bytes_are_told_apart(spark):
+    # The same characters, as often, and the same byte triples within them; only their succession differs.
+    chars = "あいうえおかきくけこ"
+    rng = random.Random(5)
+
+    def said(step):
+        at = [rng.randrange(10)]
+        for _ in range(30):
+            at.append((at[-1] + (step if rng.random() < 0.8 else rng.randrange(10))) % 10)
+        return "".join(chars[a] for a in at)
+
+    taught = [(said(step), lang) for step, lang in ((1, "up"), (3, "leap")) for _ in range(200)]
+    labelled = spark.createDataFrame(taught, "text string, lang string")
+    probes = [(said(step), lang) for step, lang in ((1, "up"), (3, "leap")) for _ in range(100)]
+
+    def right(order):
+        judged = language.judge(language.train(labelled, order), pa.array([t for t, _ in probes]))
+        return sum(p == lang for p, (_, lang) in zip(judged.field("lang_pred").to_pylist(), probes, strict=True))
+
+    assert right(4) >= 190 > 150 > right(2)
 
 
 def test_prediction_of_defined_cases(spark, tmp_path):
