@@ -17,7 +17,7 @@ task and then by Spark, in tables. What is broadcast does not: a context has a n
 and `least` is the smallest power of two with which the tree has at most `cells` entries times languages. It
 follows from the counts of all texts alone; it is 1, the whole tree, as long as that fits. A kept context keeps
 all its statistics, so every code length is exact for the tree. Order 0 is always kept, which `cells` must hold:
-beyond some 180 languages the default does not, and that is an error.
+beyond some 120 languages the default does not, and that is an error.
 
 Defined cases: a null text, or one without any letter, is `und` with score 0, as is every text if nothing
 was learned; empty and null texts and null languages teach nothing; languages with equal code length go to
@@ -42,11 +42,11 @@ run_anywhere(__name__)
 
 UNDETERMINED = "und"
 ORDER = 4  # bytes of the longest contexts
-CELLS = 1 << 23  # costs in a tree: entries times languages
+CELLS = 1 << 22  # costs in a tree: entries times languages
 _START = 0xFF  # stands before a text; never a byte of UTF-8
 _UNSEEN = 8.0  # bits of a byte that no text had
-_PIECE = 1 << 20
-_HELD = 1 << 21  # different byte strings that a task counts before it passes them on
+_PIECE = 1 << 17
+_HELD = 1 << 19  # different byte strings that a task counts before it passes them on
 
 
 @dataclass(frozen=True)
