@@ -17,7 +17,7 @@ task and then by Spark, in tables. What is broadcast does not: a context has a n
 and `least` is the smallest power of two with which the tree has at most `cells` entries times languages. It
 follows from the counts of all texts alone; it is 1, the whole tree, as long as that fits. A kept context keeps
 all its statistics, so every code length is exact for the tree. Order 0 is always kept, which `cells` must hold:
-beyond some 120 languages the default does not, and that is an error.
+beyond some 180 languages the default does not, and that is an error.
 
 Defined cases: a null text, or one without any letter, is `und` with score 0, as is every text if nothing
 was learned; empty and null texts and null languages teach nothing; languages with equal code length go to
@@ -42,10 +42,11 @@ run_anywhere(__name__)
 
 UNDETERMINED = "und"
 ORDER = 4  # bytes of the longest contexts
-CELLS = 1 << 22  # costs in a tree: entries times languages
+CELLS = 1 << 23  # costs in a tree: entries times languages
 _START = 0xFF  # stands before a text; never a byte of UTF-8
 _UNSEEN = 8.0  # bits of a byte that no text had
 _PIECE = 1 << 17
+_ROWS = 1 << 10  # texts looked at together, at most
 _HELD = 1 << 19  # different byte strings that a task counts before it passes them on
 
 
@@ -98,7 +99,7 @@ def _counter(order: int):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
+        for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, len(whole), _ROWS)):
             langs, texts = batch.column("lang"), batch.column("text")
             for lang in pc.unique(langs).to_pylist():
                 for _, _, strings in _strings(*_buffer(texts.filter(pc.equal(langs, lang))), order):
@@ -125,7 +126,7 @@ def count_strings(labelled: DataFrame, order: int = ORDER) -> DataFrame:
         raise ValueError("order must lie between 0 and 6, so that a string fits into a long")
     taught = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     partial = taught.mapInArrow(_counter(order), "lang string, string bigint, n bigint")
-    longest = materialise(partial.groupBy("lang", "string").agg(F.sum("n").alias("n")), "byte_strings")
+    longest = partial.groupBy("lang", "string").agg(F.sum("n").alias("n"))
     cut = F.explode(
         F.array(*[
             F.struct(F.lit(k).alias("length"), F.col("string").bitwiseAND(F.lit((1 << 8 * k) - 1).cast("bigint")).alias("string"))
@@ -252,7 +253,10 @@ def predictor(spark: SparkSession, model: Model):
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predicted(texts: pa.Array) -> pa.Array:
         languages, levels = shared.value
-        return judge(Model(languages, [Level(*v) for v in levels]), texts)
+        model = Model(languages, [Level(*v) for v in levels])
+        judged = pa.concat_arrays([judge(model, texts.slice(at, _ROWS)) for at in range(0, max(len(texts), 1), _ROWS)])
+        pa.default_memory_pool().release_unused()  # a worker stays, with what it holds
+        return judged
 
     return predicted
 
