@@ -5,9 +5,14 @@ divided by its words. A document is emitted floor(rate) times, plus once more if
 doc_id falls below the rate's fraction. Sums are combined before the shuffle, so a source that holds most
 rows costs no more than any other; the sources' targets are looked up by a join whose size is checked.
 
+The first row of a doc_id is drawn by the id alone, any further one by the id and its number among the
+rows of that id, in the order of source, size and contents. So a source of equal ids, or of null ids, comes
+as near its target as any other. Ids are counted first, combined before the shuffle; only rows of repeated
+ids are numbered, range by range and without their texts, so one id may hold a third of all rows.
+
 Defined cases: a null text counts as empty; null is a source of its own, the last in order; a source
-without words gets target 0 and rate 0; rows with equal doc_id (null too) share one draw; an empty table
-gives an empty result; extra columns are kept, except those named like the columns added here.
+without words gets target 0 and rate 0; rows with equal doc_id (null too) are drawn one by one; an empty
+table gives an empty result; extra columns are kept, except those named like the columns added here.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwatch.llm.common import WORD, fresh, packed, unpacked, without, words_in
+from panelwatch.llm.common import WORD, fresh, packed, unpacked, with_row_key, without, words_in
 from panelwatch.operators.keys import number_rows
 from panelwatch.operators.lookup import lookup
 from panelwatch.session import materialise
@@ -73,6 +78,37 @@ def targets(
     return sources.select("_key", "source_size", F.least(room, F.lit(level) * F.col("_weight")).alias("target"))
 
 
+def _drawn(docs: DataFrame, seed: str) -> DataFrame:
+    """All columns as `doc`, with size, _key and draw."""
+    made = {"size": words_in(F.col("text")), "_key": _key(F.col("source"))}
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    counts = docs.groupBy(name.alias("_id")).agg(F.count("*").alias("_n"))
+    again = materialise(counts.where("_n > 1").select("_id"), "repeated_ids")
+    if again.isEmpty():
+        return packed(docs, "doc", **made, draw=draw(seed, name))
+
+    row = fresh(docs, "_row")
+    keyed = with_row_key(docs, row)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = keyed.select(
+        whole.alias("doc"),
+        *[c.alias(n) for n, c in made.items()],
+        name.alias("_id"),
+        F.col(row)["file"].alias("_file"),
+        F.col(row)["row"].alias("_at"),
+    )
+    order = ["_id", "_key", "size", "_same", "_file", "_at"]
+    place = ["_file", "_at"]
+    repeated = lookup(rows.withColumn("_same", F.xxhash64(F.to_json("doc"))).select(*order), again, ["_id"], salt_by=place)
+    numbered = materialise(number_rows(materialise(repeated, "repeated_rows"), order, "_place"), "numbered_rows")
+    firsts = materialise(numbered.groupBy("_id").agg(F.min("_place").alias("_first")), "first_rows")
+    later = lookup(numbered, firsts, ["_id"], salt_by=place).where("_place > _first")
+    nth = materialise(later.select(*place, (F.col("_place") - F.col("_first")).alias("_nth")), "later_rows")
+    by_id, by_number = draw(seed, F.col("_id")), draw(seed, F.col("_id"), F.col("_nth"))
+    drawn = F.when(F.col("_nth").isNull(), by_id).otherwise(by_number)
+    return lookup(rows, nth, place, "left", salt_by=place).select("doc", *made, drawn.alias("draw"))
+
+
 def plan(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -83,8 +119,7 @@ def plan(
     """The documents with size, source_size, target (of the source) and copies, the times to emit each."""
     docs = without(docs, ADDED)
     by_source = targets(docs, weights, share, most)
-    keyed = packed(docs, "doc", size=words_in(F.col("text")), _key=_key(F.col("source")), draw=draw(seed, F.col("doc_id")))
-    joined = lookup(keyed, by_source, ["_key"])
+    joined = lookup(_drawn(docs, seed), by_source, ["_key"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     copies = F.floor("rate") + (F.col("draw") < F.col("rate") - F.floor("rate")).cast("int")
     rated = joined.withColumn("rate", rate)
@@ -109,6 +144,9 @@ SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '{WORD}')) END AS BIGINT) AS size
   FROM documents
+), told AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN source IS NULL THEN 1 ELSE 0 END, encode(source), size) - 1 AS nth
+  FROM sized
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY CASE WHEN source IS NULL THEN 1 ELSE 0 END, encode(source)) - 1) % 3]::DOUBLE AS weight
@@ -128,8 +166,8 @@ WITH sized AS (
 ), drawn AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-    CAST('0x' || md5('{SEED}:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null'))[1:13] AS BIGINT)::DOUBLE / 4503599627370496 AS u
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    CAST('0x' || md5('{SEED}:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null') || CASE WHEN s.nth > 0 THEN ':' || s.nth ELSE '' END)[1:13] AS BIGINT)::DOUBLE / 4503599627370496 AS u
+  FROM told s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
   size * CAST(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken

@@ -1,7 +1,7 @@
 """Operator 10: shuffle documents into shards by a two-pass external shuffle.
 
-Pass one scatters the rows uniformly into buckets of about `bucket_bytes` by a seeded hash of the row's
-place in its file. Pass two gathers each bucket in one task, puts it into a fixed order, permutes it by
+Pass one scatters the rows uniformly into buckets of about `bucket_bytes`, all columns counted, by a seeded
+hash of the row's place in its file. Pass two gathers each bucket in one task, puts it into a fixed order, permutes it by
 Spark's `shuffle` (a Fisher-Yates shuffle) and writes it. Bucket after bucket this is one random order of
 all rows; shard k is its k-th part, so shard counts differ by one at most (law `rows`). Every bucket is
 about equally large whatever its rows hold, also if most texts or doc_ids are equal.
@@ -10,14 +10,16 @@ The bucket of a row depends on the seed and the row's place alone, and bucket b
 that runs again after the loss of an executor makes the same rows in the same order.
 
 Defined cases: a null text has no bytes; nulls, repeated rows and equal texts are rows like any others; an
-empty table gives empty shards (no rows); extra columns are kept, except those named like `shard` or
-`slot`. A text longer than a bucket makes that bucket as much larger.
+empty table gives empty shards (no rows); extra columns are kept, however wide, except those named like
+`shard` or `slot`. A row longer than a bucket makes that bucket as much larger. As a row is known by its
+place, a copy of the table in other files is dealt anew.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwatch.llm.common import fresh, unpacked, with_row_key, without
 from panelwatch.session import scratch_path
@@ -32,13 +34,25 @@ def size_of(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
+def width_of(df: DataFrame) -> Column:
+    """Bytes of a row: those of its texts, those of nested values as JSON, and eight for each column."""
+    width = F.lit(8 * len(df.columns))
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            width += F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+            width += F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return width.cast("long")
+
+
 def shuffled(
     docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, seed: int = SEED
 ) -> DataFrame:
     """The documents with `shard` (0 to shards - 1) and `slot` (0, 1, ... in each shard)."""
     docs = without(docs, ["shard", "slot"])
     row = fresh(docs, "_row")
-    total, n = docs.agg(F.sum(size_of(F.col("text"))), F.count("*")).first()
+    total, n = docs.agg(F.sum(width_of(docs)), F.count("*")).first()
     buckets = max(1, -(-(total or 0) // bucket_bytes))
 
     keyed = with_row_key(docs, row)

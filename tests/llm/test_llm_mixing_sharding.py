@@ -1,9 +1,12 @@
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import duckdb
 import pytest
 from llm_data import CLASHING, SCHEMA, documents, frame
 
+from pyspark.sql import functions as F
+
 from panelwatch.llm import mixing, sharding
 
 
@@ -63,6 +66,50 @@ def test_taken_words_come_near_the_targets_and_reruns_agree(spark):
     assert sorted(map(tuple, first)) == sorted(map(tuple, mixing.plan(docs.repartition(7)).collect()))
 
 
+def repeated_ids():
+    """Sources whose rows share an id, or have none, or are one row many times; two unlike rows of an id in two sources."""
+    rows = [(7, f"w{i} " * (1 + i % 9), "en", "one id", i) for i in range(1500)]
+    rows += [(None, f"w{i} " * (1 + i % 7), "en", "no id", i) for i in range(1500)]
+    rows += [(8, "same words here", "en", "one row", 0)] * 1500
+    rows += [(i, "w " * 5, "en", None, 0) for i in range(100, 1600)]
+    return rows + [(100, "of another source", "en", "one id", 0), (100, None, "en", "one id", 0)]
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_rows_of_one_id_are_drawn_one_by_one(spark, tmp_path, written):
+    rows = repeated_ids()
+    docs = frame(spark, rows, SCHEMA, tmp_path if written else None, CLASHING)
+    planned = mixing.plan(docs).collect()
+    assert len(planned) == len(rows)
+    taken = defaultdict(int)
+    for r in planned:
+        taken[r.source, r.target] += r["size"] * r.copies
+    assert len(taken) == 4 and {s for s, _ in taken} == {"one id", "no id", "one row", None}
+    for (_, target), words in taken.items():
+        assert target > 0 and abs(words - target) < 0.05 * target
+    again = mixing.plan(docs.repartition(7)).collect()
+    assert Counter(map(str, again)) == Counter(map(str, planned))
+
+
+def test_repeated_ids_equal_the_sql(spark, tmp_path):
+    docs = repeated_ids()
+    frame(spark, docs, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op1_mix_sources(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    columns = "doc_id, size, source_size, target, taken"
+    wanted = con.execute(f"SELECT {columns} FROM ({mixing.SQL})").fetchall()
+    assert Counter(tuple(r) for r in got.select(*columns.split(", ")).collect()) == Counter(wanted)
+
+
+def test_numbers_of_equal_ids_do_not_depend_on_size_checks(spark, tmp_path, monkeypatch):
+    docs = frame(spark, repeated_ids(), SCHEMA, tmp_path)
+    planned = Counter(map(str, mixing.plan(docs).collect()))
+    monkeypatch.setattr("panelwatch.operators.keys.ONE_TASK_ROWS", 0)
+    monkeypatch.setattr("panelwatch.operators.lookup.fits_broadcast", lambda dim: False)
+    assert Counter(map(str, mixing.plan(docs).collect())) == planned
+
+
 def test_mixing_nothing(spark):
     assert mixing.plan(frame(spark, [], SCHEMA)).count() == 0
     wordless = mixing.plan(frame(spark, [(1, None, None, None, None), (2, " ", "en", "a", 1)], SCHEMA)).collect()
@@ -108,3 +155,17 @@ def test_written_shards_read_back(spark, tmp_path):
     back = sharding.write_shards(docs, str(tmp_path / "shards"), shards=4)
     assert back.count() == len(documents()) and {r.shard for r in back.collect()} == {0, 1, 2, 3}
     assert sharding.shuffled(frame(spark, [], SCHEMA)).count() == 0
+
+
+def test_buckets_count_all_columns(spark, tmp_path):
+    rows = [(i, "t", "en", "a", 0) for i in range(400)]
+    wide = frame(spark, rows, SCHEMA, tmp_path).withColumns(
+        {"payload": F.repeat(F.lit("x"), 1000), "tags": F.array(F.lit("y" * 490)), "gone": F.lit(None).cast("string")}
+    )
+    width = {r[0] for r in wide.select(sharding.width_of(wide)).collect()}
+    assert width == {8 * 8 + len("t" "en" "a") + 1000 + len('{"tags":["') + 490 + len('"]}')}
+    out = sharding.shuffled(wide, bucket_bytes=50_000)
+    per_task = Counter(r[0] for r in out.select(F.spark_partition_id()).collect())
+    assert sum(per_task.values()) == 400 and len(per_task) >= 12 and max(per_task.values()) < 80
+    none = frame(spark, [], SCHEMA).withColumn("payload", F.lit(None).cast("binary"))
+    assert sharding.shuffled(none).count() == 0
