@@ -6,8 +6,10 @@ ML, in the JVM) on lexical features: lengths, depth, digit ratio, entropy, param
 labelled URLs of the same host suffix, path head and file ending are blocked.
 
 The trees are fitted on a bounded sample of labelled URLs (`SAMPLE`, those with the least hashes); the
-suffix statistics are counted over all labelled URLs. Rates are smoothed towards the overall rate. Every
-URL is judged; none is dropped. Suffix tables are looked up by joins whose size is checked.
+suffix statistics are counted over all labelled URLs. Rates are smoothed towards the overall rate. A URL is
+fitted on the rates of the other folds (`FOLDS`, dealt by a hash of the URL, so equal URLs share one): its
+own label is in none of its features. Every URL is judged, by the rates of all folds; none is dropped. Suffix
+tables are looked up by joins whose size is checked.
 
 Defined cases: a null URL, or one without `://`, has empty host and path, fits no rule and is judged by
 the trees like any other; equal URLs are judged alike; if no URL is labelled, the verdict is allow, and if
@@ -40,6 +42,7 @@ RULES = {
 SAMPLE = 20_000
 TREES = 10
 DEPTH = 4
+FOLDS = 5
 PRIOR = 20.0  # labelled URLs that the overall rate counts for
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -118,10 +121,25 @@ def with_features(urls: DataFrame) -> DataFrame:
     return urls.withColumns({k: v.cast("double") for k, v in number.items()} | _groups(host, path))
 
 
-def _with_rates(featured: DataFrame, rates: dict[str, DataFrame], overall: float) -> DataFrame:
-    for group, table in rates.items():
-        featured = lookup(featured, table, [group], "left")
-        featured = featured.withColumn(f"{group}_rate", F.coalesce(f"{group}_rate", F.lit(overall)))
+def _counts(known: DataFrame, group: str) -> DataFrame:
+    """Per value of a group: in each fold, the labelled URLs and the blocked ones among them."""
+    of = [F.col("_fold") == i for i in range(FOLDS)]
+    return known.groupBy(group).agg(
+        F.array(*[F.count_if(f).cast("double") for f in of]).alias("_n"),
+        F.array(*[F.sum(F.when(f, F.col("_block")).otherwise(0.0)) for f in of]).alias("_b"),
+    )
+
+
+def _with_rates(featured: DataFrame, counts: dict[str, DataFrame], overall: float, but: Column | None = None) -> DataFrame:
+    """Add each group's smoothed block rate, counted over all folds `but` one."""
+
+    def total(each: Column) -> Column:
+        whole = F.coalesce(F.aggregate(each, F.lit(0.0), lambda s, x: s + x), F.lit(0.0))
+        return whole if but is None else whole - F.coalesce(F.get(each, but), F.lit(0.0))
+
+    for group, table in counts.items():
+        rate = (total(F.col("_b")) + PRIOR * overall) / (total(F.col("_n")) + PRIOR)
+        featured = lookup(featured, table, [group], "left").withColumn(f"{group}_rate", rate).drop("_n", "_b")
     return featured
 
 
@@ -135,7 +153,8 @@ def judge(
     parsed = parsed.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     by_rule = _verdict_of(F.col("rule"), rules)
 
-    known = labelled.where("block IS NOT NULL").select("url", F.col("block").cast("double").alias("_block"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), url), F.lit(FOLDS)).cast("int").alias("_fold")
+    known = labelled.where("block IS NOT NULL").select("url", F.col("block").cast("double").alias("_block"), fold)
     known = materialise(with_features(known.withColumns({"host": host_of(url), "path": path_of(url)})), "labelled_urls")
     n, blocked = known.agg(F.count("*"), F.coalesce(F.sum("_block"), F.lit(0.0))).first()
     if blocked in (0, n):
@@ -143,23 +162,16 @@ def judge(
         return unpacked(parsed.withColumn("verdict", F.coalesce(by_rule, constant)), "page", *added)
 
     overall = blocked / n
-    rates = {
-        group: materialise(
-            known.groupBy(group)
-            .agg(F.count("*").alias("_n"), F.sum("_block").alias("_b"))
-            .select(group, ((F.col("_b") + PRIOR * overall) / (F.col("_n") + PRIOR)).alias(f"{group}_rate")),
-            f"rates{group}",
-        )
-        for group in GROUPS
-    }
+    counts = {group: materialise(_counts(known, group), f"counts{group}") for group in GROUPS}
     assembler = VectorAssembler(inputCols=[*FEATURES, *[f"{g}_rate" for g in GROUPS]], outputCol="_features")
     chosen = known.orderBy(F.xxhash64("url"), "url", "_block").limit(sample)
-    fitted = materialise(_with_rates(chosen, rates, overall).select("_block", *FEATURES, *[f"{g}_rate" for g in GROUPS]), "sample")
+    rated = _with_rates(chosen, counts, overall, F.col("_fold"))
+    fitted = materialise(rated.select("_block", *FEATURES, *[f"{g}_rate" for g in GROUPS]), "sample")
     boosted = GBTClassifier(
         labelCol="_block", featuresCol="_features", predictionCol="_p", maxIter=trees, maxDepth=depth, seed=3
     ).fit(assembler.transform(fitted))
 
-    ready = assembler.transform(_with_rates(with_features(parsed), rates, overall))
+    ready = assembler.transform(_with_rates(with_features(parsed), counts, overall))
     by_trees = F.when(F.col("_p") > 0.5, "block").otherwise("allow")
     return unpacked(boosted.transform(ready).withColumn("verdict", F.coalesce(by_rule, by_trees)), "page", *added)
 

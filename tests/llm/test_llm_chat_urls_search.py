@@ -150,6 +150,32 @@ def test_trees_learn_held_out_labels(spark):
     assert len(judged) == 200 and right >= 195
 
 
+def test_urls_are_fitted_on_rates_without_their_own_labels(spark):
+    r = random.Random(9)
+    rows = [(r.choice("abc") + r.choice(["", str(i)]), float(r.random() < 0.4), r.randrange(urls.FOLDS)) for i in range(300)]
+    known = spark.createDataFrame(rows, "_sub string, _block double, _fold int")
+    counts = {"_sub": urls._counts(known, "_sub")}
+    fitted = urls._with_rates(known.withColumn("n", F.monotonically_increasing_id()), counts, 0.4, F.col("_fold")).collect()
+    judged = urls._with_rates(known, counts, 0.4).collect()
+    assert len(fitted) == len(judged) == len(rows)
+    for group, _, fold, _, rate in fitted:
+        others = [b for g, b, f in rows if g == group and f != fold]
+        assert rate == pytest.approx((sum(others) + urls.PRIOR * 0.4) / (len(others) + urls.PRIOR))
+    for group, _, _, rate in judged:
+        mine = [b for g, b, _ in rows if g == group]
+        assert rate == pytest.approx((sum(mine) + urls.PRIOR * 0.4) / (len(mine) + urls.PRIOR))
+
+
+def test_labels_of_hosts_seen_once_are_not_learned_by_heart(spark):
+    """Every URL has a host of its own and a label that only the path tells: hosts no label knows are judged by the path."""
+    r = random.Random(11)
+    name = lambda: "".join(r.choice("abcdefghij") for _ in range(9))
+    rows = [(f"http://{name()}.{name()}.{name()}/{'win' if i % 3 == 0 else name()}/{name()}", int(i % 3 == 0)) for i in range(900)]
+    frame_ = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id bigint, url string, block int")
+    judged = urls.judge(frame_.where("page_id >= 600"), frame_.where("page_id < 600"), {}, trees=5).collect()
+    assert sum((row.verdict == "block") == bool(row.block) for row in judged) >= 295
+
+
 def test_url_labels_of_one_kind_or_none(spark):
     pages = frame(spark, [(1, "http://a.net/x"), (2, None)], "page_id bigint, url string")
     none = spark.createDataFrame([], "url string, block int")
