@@ -1,21 +1,20 @@
-"""Operator 4: remove bytes covered by long strings that occur more than once, by sparse prefix doubling.
+"""Operator 4: remove bytes covered by long strings that occur more than once, by anchor hashing.
 
-Prefix doubling ranks every position by its first bytes and then, offset by offset, by pairs of ranks,
-until a position is unique or the threshold is passed. Moving a pair for every byte of a corpus in every
-round is what makes it dear, so it is done here for as few positions as possible, without missing any:
+This stands in for prefix doubling, which ranks every position by its first bytes and then, offset by
+offset, by pairs of ranks, and moves a row for every byte of the corpus in each round (the README has the
+figures of a trial). Here only few positions are moved, without missing any:
 
 * The start of every string of `length` bytes is represented by its anchor, the position of the least hash
   among its substrings of half the length. Equal strings have equal anchors, and neighbours mostly share
-  one, so starts fall into runs, one for about a hundred bytes, each with its anchor's rank.
-* Round one ranks runs by their anchors' half-length strings. Unique runs cannot hold a repeated string
-  and are dropped. Runs that are equal as a whole are repeated as a whole. Otherwise one run of each kind
-  goes on.
-* Each further round cuts runs into shorter ones (`BLOCK` starts, then one). All strings of a short run
-  share a core longer than half: its rank is the pair of ranks at two positions whose offset grows from
-  round to round until, with one start, the pair spans the whole length. Again unique cores are dropped.
-
-Ranks are names: 64-bit hashes of half-length strings, computed from the text where it lies. Equality is
-always decided on two of them, 128 bits. Spark groups and joins the (position, rank pair) rows; hot ranks are counted
+  one, so starts fall into runs, one for about a hundred bytes, each named by its anchor's half-length string.
+* Runs whose name occurs once cannot hold a repeated string and are dropped. Runs that are equal as a whole
+  are repeated as a whole. Otherwise one run of each kind goes on.
+* Two fixed cuts make shorter runs (`BLOCK` starts, then one). All strings of a short run share a core longer
+  than half, named by the half-length strings at both its ends; with one start, these span the whole
+  length. Again unique cores are dropped.
+
+Names are 64-bit hashes of half-length strings, computed from the text where it lies. Equality is
+always decided on two of them, 128 bits. Spark groups and joins the rows of names; hot names are counted
 before the shuffle and joined by plain joins, which adaptive execution splits. No group is collected.
 
 Defined cases: a null text has no bytes; texts shorter than `length` lose nothing; rows with null or equal
