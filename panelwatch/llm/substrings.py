@@ -1,8 +1,8 @@
 """Operator 4: remove bytes covered by long strings that occur more than once, by anchor hashing.
 
 This stands in for prefix doubling, which ranks every position by its first bytes and then, offset by
-offset, by pairs of ranks, and moves a row for every byte of the corpus in each round (the README has the
-figures of a trial). Here only few positions are moved, without missing any:
+offset, by pairs of ranks, and moves a row for every byte of the corpus in each round (the README has an
+estimate of what that costs). Here only few positions are moved, without missing any:
 
 * The start of every string of `length` bytes is represented by its anchor, the position of the least hash
   among its substrings of half the length. Equal strings have equal anchors, and neighbours mostly share
